@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import packing, quality, simhash, toxicity, vectors
+from . import packing, quality, shards, simhash, toxicity, vectors
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -37,6 +37,11 @@ def op4_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vectors.near_vectors(_table(spark, sf_dir, "embeddings"))
 
 
+def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shards.shard_documents(_table(spark, sf_dir, "documents"))
+
+
+QUERIES["op7_sharding"] = op7_sharding
 QUERIES["op4_embeddings"] = op4_embeddings
 QUERIES["op6_packing"] = op6_packing
 QUERIES["op9_simhash"] = op9_simhash
