@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import packing, quality, shards, simhash, toxicity, vectors
+from . import packing, quality, shards, simhash, toxicity, urls, vectors
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -41,6 +41,12 @@ def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shards.shard_documents(_table(spark, sf_dir, "documents"))
 
 
+def op8_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urls.url_digest(_table(spark, sf_dir, "pages"))
+
+
+QUERIES["op8_url_filters"] = op8_url_filters
+ORACLE["op8_url_filters"] = urls.ORACLE
 QUERIES["op7_sharding"] = op7_sharding
 QUERIES["op4_embeddings"] = op4_embeddings
 QUERIES["op6_packing"] = op6_packing
