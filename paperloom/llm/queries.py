@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import packing, quality, shards, simhash, toxicity, urls, vectors
+from . import packing, pages, quality, shards, simhash, toxicity, urls, vectors
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -45,6 +45,11 @@ def op8_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.url_digest(_table(spark, sf_dir, "pages"))
 
 
+def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pages.page_digest(_table(spark, sf_dir, "pages"))
+
+
+QUERIES["op10_html_text"] = op10_html_text
 QUERIES["op8_url_filters"] = op8_url_filters
 ORACLE["op8_url_filters"] = urls.ORACLE
 QUERIES["op7_sharding"] = op7_sharding
