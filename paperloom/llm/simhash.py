@@ -85,15 +85,14 @@ def _signed(mask: int) -> int:
     return mask - (1 << 64) if mask >> 63 else mask
 
 
-def _ring_passes(difference: np.ndarray, ring: list[int], first: int, most: int) -> np.ndarray:
-    """Whether each prefix of the chain that begins with segment first stays within its share of most, and the full check."""
-    mask, passes = 0, np.ones(difference.shape, bool)
-    for length in range(1, len(ring) + 1):
+def _chained(difference: np.ndarray, ring: list[int], first: int, most: int) -> np.ndarray:
+    """Flat positions of the differences whose chain from segment first keeps, in every prefix, within its share of most; the full check is the last prefix."""
+    flat, mask = difference.ravel(), ring[first]
+    left = np.arange(flat.size)
+    for length in range(2, len(ring) + 1):
         mask |= ring[(first + length - 1) % len(ring)]
-        passes &= np.bitwise_count(difference & np.uint64(mask)) <= length * most // len(ring)
-        if not passes.any():
-            return passes
-    return passes & (np.bitwise_count(difference) <= most)
+        left = left[np.bitwise_count(flat[left] & np.uint64(mask)) <= length * most // len(ring)]
+    return left[np.bitwise_count(flat[left]) <= most]
 
 
 class _Forest:
@@ -123,9 +122,9 @@ def bucket_links(prints: np.ndarray, ring: list[int], first: int, most: int) ->
     for at in range(0, n, ROWS_AT_ONCE):
         block = prints[at : at + ROWS_AT_ONCE]
         rest = prints[at:]
-        found = np.argwhere(np.triu(_ring_passes(block[:, None] ^ rest[None, :], ring, first, most), 1))
-        for i, j in found.tolist():
-            if forest.join(at + i, at + j):
+        found = _chained(block[:, None] ^ rest[None, :], ring, first, most)
+        for i, j in zip((found // len(rest)).tolist(), (found % len(rest)).tolist(), strict=True):
+            if i < j and forest.join(at + i, at + j):
                 out.append((at + i, at + j))
     return out
 
@@ -220,8 +219,8 @@ def simhash_digest(documents: DataFrame) -> DataFrame:
     return found.select("doc_id", fingerprint_text().alias("fingerprint"), F.col("component").alias("component_id"))
 
 
-def one_of_each(documents: DataFrame, words: int = 3, most: int = 2) -> DataFrame:
-    """One document of each group: the one with the smallest id, in the columns of documents; of repeated ids one row."""
+def one_of_each(documents: DataFrame, words: int = 5, most: int = 6) -> DataFrame:
+    """One document of each group: the one with the smallest id, in the columns of documents; of repeated ids one row, and every row without an id."""
     classes = near_duplicates(documents, words, most).where("doc_id = component").select("doc_id").distinct()
-    kept = documents.join(classes, "doc_id", "left_semi")
-    return kept.dropDuplicates(["doc_id"]).select(*[f"`{c}`" for c in documents.columns])
+    kept = documents.join(classes, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    return kept.unionByName(documents.where("doc_id is null")).select(*[f"`{c}`" for c in documents.columns])
