@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import packing, pages, quality, shards, simhash, toxicity, urls, vectors
+from . import packing, pages, pieces, quality, shards, simhash, toxicity, urls, vectors
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -49,6 +49,11 @@ def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pages.page_digest(_table(spark, sf_dir, "pages"))
 
 
+def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.piece_digest(_table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+QUERIES["op2_sentencepiece"] = op2_sentencepiece
 QUERIES["op10_html_text"] = op10_html_text
 QUERIES["op8_url_filters"] = op8_url_filters
 ORACLE["op8_url_filters"] = urls.ORACLE
