@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import packing, pages, pieces, quality, shards, simhash, toxicity, urls, vectors
+from . import packing, pages, pieces, quality, search, shards, simhash, toxicity, urls, vectors
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -54,6 +54,11 @@ def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES["op2_sentencepiece"] = op2_sentencepiece
+def op3_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search.search_digest(_table(spark, sf_dir, "documents"))
+
+
+QUERIES["op3_search"] = op3_search
 QUERIES["op10_html_text"] = op10_html_text
 QUERIES["op8_url_filters"] = op8_url_filters
 ORACLE["op8_url_filters"] = urls.ORACLE
