@@ -1,12 +1,17 @@
 """Exact top-k search: BM25 over an inverted index in shards, with block-max WAND pruning.
 
-A shard holds up to SHARD documents. Its index has, for every term, the postings in order
-of documents, cut into blocks of BLOCK documents, and the greatest impact in each block.
-For a query, the block maxima of its terms, weighted, add up to a bound for each block of
-documents; blocks are read with the greatest bound first, and as soon as the bound of the
-next ones is below the k-th best score, they are skipped whole: no document in them can
-enter. Scores use the global number of documents, mean length and document frequencies, so
-that merging the shards' best gives exactly the best of all.
+A shard holds up to SHARD documents in an order that keeps languages together, cut into
+blocks of BLOCK documents. For a term the index has its postings and, when it is read, the
+greatest impact in each block for the DENSE most frequent terms, whose lists are laid out
+densely; all other lists are short and are added up as they are.
+
+Queries go through a shard in groups. What the short lists give a document is exact; with
+the weighted block maxima of the frequent terms it makes a bound for each query and block.
+A block is scored, by one matrix product over its documents, for those queries alone whose
+k-th best score so far its bound reaches; for all others the block is skipped whole, since
+no document in it can enter. The k-th best scores are carried on from shard to shard within
+a task. Scores use the global number of documents, mean length and document frequencies, so
+that merging the tasks' best gives exactly the best of all.
 
 Terms are lower-cased runs of letters and digits, held as 64-bit hashes. Queries go
 through in blocks of at most BLOCK_TERMS terms, each given to all shards; the frequencies
@@ -14,14 +19,14 @@ are collected for a block's terms alone. Ties in score go to the smaller id.
 
 Defined results: a query without a term, null and empty ones among them, has no answers; a
 document without terms answers none; repeated query ids answer as one query with all their
-rows' terms; a table without documents gives no rows; other columns are not read.
+rows' terms; of repeated documents each row answers; a table without documents gives no
+rows; other columns are not read.
 """
 
 from __future__ import annotations
 
 import re
 from collections.abc import Iterator
-from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -34,7 +39,9 @@ from .shared import batch_rows, small_batches, written
 K1, B = 1.2, 0.75
 SHARD, BLOCK = 8192, 64
 BLOCK_TERMS = 1_500_000
-#: Blocks of documents that are scored before the k-th best score is looked at again.
+#: The frequent terms of a shard whose lists are dense, queries that go through together, and shards of a task.
+DENSE, QUERIES_AT_ONCE, SHARDS_OF_TASK = 512, 512, 4
+#: Blocks of documents that are scored before the k-th best scores are looked at again.
 BLOCKS_AT_ONCE = 8
 #: Scores are given to so many digits, and bounds are raised by as much as sums may differ by.
 DIGITS, SLACK = 9, 1e-9
@@ -91,70 +98,74 @@ def _index_rows(documents: DataFrame) -> DataFrame:
     return documents.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, schema)
 
 
-@dataclass
 class Shard:
-    """A shard's index, with impacts for a mean length and the block maxima."""
-
-    docs: np.ndarray
-    terms: np.ndarray
-    at: np.ndarray
-    doc: np.ndarray
-    impact: np.ndarray
-    block_at: np.ndarray  # for each term, its first entry in the block arrays
-    block: np.ndarray
-    block_from: np.ndarray  # for each entry, its first posting, and the end of the last
-    block_max: np.ndarray
-
-    @staticmethod
-    def read(row: dict, mean: float) -> Shard:
-        docs, lengths, terms, at = (np.frombuffer(row[c], t) for c, t in (("docs", "<i8"), ("lengths", "<i4"), ("terms", "<u8"), ("at", "<i8")))
-        doc, tf = np.frombuffer(row["doc"], "<u2"), np.frombuffer(row["tf"], "<u4").astype("f8")
-        impact = tf * (K1 + 1) / (tf + K1 * (1 - B + B * lengths[doc] / mean))
-        term = np.repeat(np.arange(len(terms)), np.diff(at))
-        key = term * (SHARD // BLOCK + 1) + doc // BLOCK
-        starts = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if len(key) else np.zeros(0, np.int64)
-        return Shard(docs, terms, at, doc, impact, np.searchsorted(starts, at), (doc[starts] // BLOCK).astype(np.int64), np.concatenate([starts, [len(doc)]]), np.maximum.reduceat(impact, starts) if len(starts) else np.zeros(0))
-
-    def best(self, terms: np.ndarray, weights: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-        """Ids and scores of the k best documents for sorted query terms with their weights."""
-        nothing = np.zeros(0, np.int64), np.zeros(0)
-        if not len(self.terms) or not len(terms):
-            return nothing
-        where = np.minimum(np.searchsorted(self.terms, terms), len(self.terms) - 1)
-        held = self.terms[where] == terms
-        where, weights = where[held], weights[held]
-        first, count = self.block_at[where], self.block_at[where + 1] - self.block_at[where]
-        entry = _ranges(first, count)
-        weight = np.repeat(weights, count)
-        block = self.block[entry]
-        bound = np.bincount(block, weight * self.block_max[entry])
-        order = np.argsort(-bound, kind="stable")
-        order = order[bound[order] > 0]
-        score = np.zeros(len(self.docs))
-        seen: list[np.ndarray] = []
-        least, top = 0.0, nothing
-        for at in range(0, len(order), BLOCKS_AT_ONCE):
+    """A shard's index, ready to be searched with a mean length and the terms that queries have."""
+
+    def __init__(self, row: dict, mean: float, wanted: np.ndarray) -> None:
+        self.docs, lengths, terms, at = (np.frombuffer(row[c], t) for c, t in (("docs", "<i8"), ("lengths", "<i4"), ("terms", "<u8"), ("at", "<i8")))
+        self.doc, tf = np.frombuffer(row["doc"], "<u2").astype(np.int64), np.frombuffer(row["tf"], "<u4").astype("f8")
+        self.impact = tf * (K1 + 1) / (tf + K1 * (1 - B + B * lengths[self.doc] / mean))
+        n = len(self.docs)
+        self.blocks = -(-n // BLOCK)
+        place = np.minimum(np.searchsorted(terms, wanted), max(0, len(terms) - 1))
+        held = terms[place] == wanted if len(terms) else np.zeros(len(wanted), bool)
+        #: of each wanted term: its list, or an empty one
+        self.first, self.count = np.where(held, at[place], 0), np.where(held, at[np.minimum(place + 1, len(at) - 1)] - at[place], 0)
+        often = np.argsort(-self.count, kind="stable")[:DENSE]
+        often = often[self.count[often] > BLOCK]
+        #: row of a wanted term in the dense lists, -1 without one
+        self.row = np.full(len(wanted), -1)
+        self.row[often] = np.arange(len(often))
+        self.dense = np.zeros((len(often), self.blocks * BLOCK))
+        posting = _ranges(self.first[often], self.count[often])
+        self.dense[np.repeat(np.arange(len(often)), self.count[often]), self.doc[posting]] = self.impact[posting]
+        self.block_max = self.dense.reshape(len(often), self.blocks, BLOCK).max(2) if len(often) else np.zeros((0, self.blocks))
+
+    def answers(self, ends: np.ndarray, place: np.ndarray, weights: np.ndarray, k: int, top: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(query, position, score) of all that may be among the k best of queries with the given best scores, top, which are brought up to date."""
+        queries, width = len(ends) - 1, self.blocks * BLOCK
+        who = np.repeat(np.arange(queries), np.diff(ends))
+        often = self.row[place] >= 0
+        heavy = np.zeros((queries, len(self.dense)))
+        heavy[who[often], self.row[place[often]]] = weights[often]
+        rare = ~often & (self.count[place] > 0)
+        size = self.count[place[rare]]
+        posting = _ranges(self.first[place[rare]], size)
+        flat = np.repeat(who[rare] * width, size) + self.doc[posting]
+        score = np.bincount(flat, np.repeat(weights[rare], size) * self.impact[posting], queries * width).reshape(queries, self.blocks, BLOCK)
+        bound = score.max(2) + heavy @ self.block_max
+        bound = np.where(bound > 0, bound * (1 + SLACK) + SLACK, -1.0)
+        found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        order = np.argsort(-bound.sum(0), kind="stable")
+        for at in range(0, self.blocks, BLOCKS_AT_ONCE):
             chosen = order[at : at + BLOCKS_AT_ONCE]
-            chosen = chosen[bound[chosen] * (1 + SLACK) + SLACK >= least]
-            if not len(chosen):
-                break
-            mine = np.zeros(len(bound), bool)
-            mine[chosen] = True
-            taken = mine[block]
-            begin, size = self.block_from[entry[taken]], self.block_from[entry[taken] + 1] - self.block_from[entry[taken]]
-            posting = _ranges(begin, size)
-            doc = self.doc[posting]
-            score += np.bincount(doc, np.repeat(weight[taken], size) * self.impact[posting], len(score))
-            seen.append(np.unique(doc))
-            found = np.concatenate([top[0], seen[-1]]).astype(np.int64)
-            if len(found) > k:
-                value = np.round(score[found], DIGITS)
-                found = found[np.lexsort((self.docs[found], -value))[:k]]
-                least = float(np.round(score[found[-1]], DIGITS))
-            top = found, score[found]
-        found = top[0]
-        found = found[np.lexsort((self.docs[found], -np.round(score[found], DIGITS)))[:k]]
-        return self.docs[found], np.round(score[found], DIGITS)
+            fresh = np.zeros((queries, len(chosen) * BLOCK))
+            for j, b in enumerate(chosen):
+                mine = np.flatnonzero(bound[:, b] >= top[:, 0])
+                if len(mine):
+                    exact = score[mine, b] + heavy[mine] @ self.dense[:, b * BLOCK : (b + 1) * BLOCK]
+                    fresh[mine, j * BLOCK : (j + 1) * BLOCK] = np.round(exact, DIGITS)
+            query, column = np.nonzero((fresh > 0) & (fresh >= top[:, :1]))
+            if len(query):
+                some = np.unique(query)
+                both = np.concatenate([top[some], fresh[some]], axis=1)
+                top[some] = np.partition(both, both.shape[1] - k, axis=1)[:, -k:]
+                top[some] = np.sort(top[some], axis=1)
+                found.append((query, chosen[column // BLOCK] * BLOCK + column % BLOCK, fresh[query, column]))
+        if not found:
+            return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)
+        query, position, value = (np.concatenate(c) for c in zip(*found, strict=True))
+        keep = value >= top[query, 0]
+        return query[keep], position[keep], value[keep]
+
+
+def best_of(query: np.ndarray, doc: np.ndarray, score: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The k best of every query, ties to the smaller id."""
+    order = np.lexsort((doc, -score, query))
+    query, doc, score = query[order], doc[order], score[order]
+    start = np.concatenate([[True], query[1:] != query[:-1]]) if len(query) else np.zeros(0, bool)
+    place = np.arange(len(query)) - np.maximum.accumulate(np.where(start, np.arange(len(query)), 0)) if len(query) else query
+    return query[place < k], doc[place < k], score[place < k]
 
 
 def _ranges(first: np.ndarray, count: np.ndarray) -> np.ndarray:
@@ -216,26 +227,32 @@ def search(documents: DataFrame, queries: DataFrame, k: int = 10) -> DataFrame:
     spark = documents.sparkSession
     small_batches(spark)
     index = written(_index_rows(documents), "index")
-    total = index.agg(F.sum("n").alias("n"), F.sum("words").alias("words")).first()
+    total = index.agg(F.sum("n").alias("n"), F.sum("words").alias("words"), F.count("*").alias("shards")).first()
     answers = spark.createDataFrame([], "query_id long, doc_id long, score double")
     if total.n and total.words:
-        mean = total.words / total.n
+        mean, shards = total.words / total.n, total.shards
         for ids, ends, terms in _query_blocks(queries):
             wanted, place = np.unique(terms, return_inverse=True)
             df = _frequencies(index, wanted)
             weights = np.log1p((total.n - df + 0.5) / (df + 0.5))[place]
-            shared = spark.sparkContext.broadcast((ids, ends, terms, weights))
+            shared = spark.sparkContext.broadcast((ids, ends, wanted, place.astype(np.int32), weights))
 
             def run(batches, shared=shared, mean=mean) -> Iterator[pa.RecordBatch]:
-                ids, ends, terms, weights = shared.value
+                ids, ends, wanted, place, weights = shared.value
+                top = np.zeros((len(ids), k))
+                held = (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))
                 for batch in batches:
                     for row in batch.to_pylist():
-                        shard = Shard.read(row, mean)
-                        found = [shard.best(terms[a:b], weights[a:b], k) for a, b in zip(ends[:-1], ends[1:], strict=True)]
-                        who = np.repeat(ids, [len(d) for d, _ in found])
-                        yield pa.RecordBatch.from_arrays([pa.array(who.astype(np.int64)), pa.array(np.concatenate([d for d, _ in found])), pa.array(np.concatenate([s for _, s in found]))], names=["query_id", "doc_id", "score"])
-
-            columns = index.select("docs", "lengths", "terms", "at", "doc", "tf")
+                        shard = Shard(row, mean, wanted)
+                        for a in range(0, len(ids), QUERIES_AT_ONCE):
+                            b = min(len(ids), a + QUERIES_AT_ONCE)
+                            mine = slice(ends[a], ends[b])
+                            query, position, score = shard.answers(ends[a : b + 1] - ends[a], place[mine], weights[mine], k, top[a:b])
+                            held = tuple(np.concatenate(c) for c in zip(held, (query + a, shard.docs[position], score), strict=True))
+                        held = best_of(*held, k)
+                yield pa.RecordBatch.from_arrays([pa.array(ids[held[0]].astype(np.int64)), pa.array(held[1]), pa.array(held[2])], names=["query_id", "doc_id", "score"])
+
+            columns = index.select("docs", "lengths", "terms", "at", "doc", "tf").coalesce(max(1, -(-shards // SHARDS_OF_TASK)))
             with batch_rows(spark, 1):
                 answers = answers.unionByName(written(columns.mapInArrow(run, "query_id long, doc_id long, score double"), "answers"))
             shared.unpersist()
