@@ -10,7 +10,6 @@ from collections.abc import Mapping
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 # Detector labels and the region type of each; any other label is text.
 REGION_OF_LABEL = {
@@ -66,9 +65,11 @@ FALLBACK_FACTOR, FALLBACK_EXTRA, FALLBACK_CAP, LEAST_OVERALL = 0.7, 0.10, 0.70,
 #: Literals that stand for nothing, besides null.
 EMPTY_TOKENS = ("", "None", "{}", "[]")
 
-BOX = T.StructType([T.StructField(c, T.IntegerType()) for c in ("x1", "y1", "x2", "y2")])
-FIELDS = T.StructType.fromDDL("doc_id string, pos int, field_key string, raw_value string, corrected_value string, data_type string, confidence double, token_logprobs array<double>, is_flagged boolean, region_id string, was_retried boolean")
-REGIONS = T.StructType.fromDDL("doc_id string, pos int, region_id string, region_type string, x1 int, y1 int, x2 int, y2 int, confidence double, source string, field_key string, order_idx int")
+#: Columns of the fact tables.
+FIELDS = (
+    "doc_id string, pos int, field_key string, raw_value string, corrected_value string, data_type string, confidence double, token_logprobs array<double>, is_flagged boolean, region_id string, was_retried boolean"
+)
+REGIONS = "doc_id string, pos int, region_id string, region_type string, x1 int, y1 int, x2 int, y2 int, confidence double, source string, field_key string, order_idx int"
 
 
 def looked_up(key: Column, table: Mapping, default=None) -> Column:
