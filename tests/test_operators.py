@@ -274,16 +274,19 @@ def test_targets(spark):
     assert got == {"agent_name": (1, None), "address": (2, {"phone": "02"})}
 
 
-class Fake:
-    def run(self, task):
-        if task["region_id"] == "bad":
-            raise ValueError("no")
-        return {"content": task["region_id"].upper(), "logprobs": [-0.1], "confidence": 0.9}
+def fake_provider():
+    class Fake:
+        def run(self, task):
+            if task["region_id"] == "bad":
+                raise ValueError("no")
+            return {"content": task["region_id"].upper(), "logprobs": [-0.1], "confidence": 0.9}
+
+    return lambda: Fake()
 
 
 def test_inference(spark):
     work = spark.createDataFrame([("d", "a", 140), ("d", "bad", 560)], "doc_id string, region_id string, pixel_budget int")
-    got = {r.region_id: (r.content, r.content_type, r.confidence) for r in infer.answered(work, Fake).collect()}
+    got = {r.region_id: (r.content, r.content_type, r.confidence) for r in infer.answered(work, fake_provider()).collect()}
     assert got == {"a": ("A", "text", 0.9), "bad": ("", "error", 0.0)}
     seen = spark.createDataFrame([("d", "a", 0, "x", [-0.1])], "doc_id string, region_id string, attempt int, content string, logprobs array<double>")
     assert {r.region_id: r.content_type for r in infer.replayed(work, seen).collect()} == {"a": "text", "bad": "error"}
