@@ -37,10 +37,10 @@ from pyspark.sql import functions as F
 from .shared import batch_rows, small_batches, written
 
 K1, B = 1.2, 0.75
-SHARD, BLOCK = 8192, 64
+SHARD, BLOCK = 4096, 64
 BLOCK_TERMS = 1_500_000
 #: The frequent terms of a shard whose lists are dense, queries that go through together, and shards of a task.
-DENSE, QUERIES_AT_ONCE, SHARDS_OF_TASK = 512, 512, 4
+DENSE, QUERIES_AT_ONCE, SHARDS_OF_TASK = 512, 128, 4
 #: Blocks of documents that are scored before the k-th best scores are looked at again.
 BLOCKS_AT_ONCE = 8
 #: Scores are given to so many digits, and bounds are raised by as much as sums may differ by.
@@ -63,17 +63,22 @@ def _index_rows(documents: DataFrame) -> DataFrame:
 
     def one(ids: list[int], found: list[np.ndarray]) -> pa.RecordBatch:
         lengths = np.array([len(f) for f in found], np.int64)
-        terms, term = np.unique(np.concatenate(found), return_inverse=True)
+        tokens = np.concatenate(found)
+        found.clear()
+        terms, term = np.unique(tokens, return_inverse=True)
+        del tokens
         # documents of a language stand together: in order of their most frequent term
-        doc = np.repeat(np.arange(len(ids)), lengths)
-        pair, tf = np.unique(term.astype(np.int64) * len(ids) + doc, return_counts=True)
-        term, doc = pair // len(ids), pair % len(ids)
+        pair = term.astype(np.int64) * len(ids) + np.repeat(np.arange(len(ids)), lengths)
+        del term
+        pair, tf = np.unique(pair, return_counts=True)
+        term, doc = (pair // len(ids)).astype(np.int32), (pair % len(ids)).astype(np.int32)
+        del pair
         spread = np.bincount(term, minlength=len(terms))
         order = np.lexsort((term, -tf, doc))
         first = order[np.unique(doc[order], return_index=True)[1]]
         main = np.full(len(ids), -1)
         main[doc[first]] = term[first]
-        rank = np.empty(len(ids), np.int64)
+        rank = np.empty(len(ids), np.int32)
         rank[np.lexsort((np.array(ids), main, -spread[main]))] = np.arange(len(ids))
         doc = rank[doc]
         order = np.lexsort((doc, term))
