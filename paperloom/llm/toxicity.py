@@ -47,13 +47,13 @@ STEM_LENGTHS = range(4, 9)
 DEFAULT_LIMIT = 1 / 250
 
 _LETTERS = str.maketrans(LOOK_ALIKES, LOOKS_LIKE)
-_SIGNS = dict(zip(SIGNS, SIGN_LETTERS, strict=True))
+_SIGNS = str.maketrans(SIGNS, SIGN_LETTERS)
 _FOREIGN = re.compile("[" + re.escape("".join(sorted(set(LOOK_ALIKES)))) + "­​-‍⁠ﬀ-ﬆ！-～\U0001d400-\U0001d7ffⒶ-ⓩ]")
 _WIDE = re.compile("[ﬀ-ﬆ！-～\U0001d400-\U0001d7ffⒶ-ⓩ]")
 _UNSEEN = re.compile("[­​-‍⁠]")
 _SIGN = re.compile("[" + re.escape(SIGNS) + "]")
-#: Signs inside a word: a letter stands before and after the run, or digits begin a word that goes on with letters.
-_INNER = re.compile(r"(?<=[^\W\d_])[" + re.escape(SIGNS) + r"]{1,3}(?=[^\W\d_])|(?<![\w" + re.escape(SIGNS) + r"])[" + re.escape("013457@$") + r"](?=[^\W\d_]{2})")
+#: A run of word characters and signs that holds a sign.
+_MIXED = re.compile(r"[^\W" + "".join(c for c in SIGNS if c.isdigit()) + r"]*+[" + re.escape(SIGNS) + r"][\w" + re.escape(SIGNS) + r"]*+")
 _WORD = re.compile(r"[^\W\d_]+")
 
 
@@ -65,10 +65,18 @@ def fold(text: str) -> str:
             text = unicodedata.normalize("NFKC", text).lower()
         text = _UNSEEN.sub("", text).translate(_LETTERS)
     if _SIGN.search(text):
-        text = _INNER.sub(lambda m: "".join(_SIGNS[c] for c in m[0]), text)
+        text = _MIXED.sub(_spelt, text)
     return text
 
 
+def _spelt(run: re.Match) -> str:
+    """A run of two letters or more with its signs as letters, but for those at its end; any other as it is."""
+    word = run[0].rstrip(SIGNS)
+    if sum(map(str.isalpha, word)) < 2:
+        return run[0]
+    return word.translate(_SIGNS) + run[0][len(word) :]
+
+
 @dataclass
 class Lexicon:
     """Weights of whole words and of word stems, exception phrases, and the density that counts as toxic."""
