@@ -2,12 +2,13 @@
 
 Every partition tokenises its documents, cuts those longer than a sequence into full
 pieces and a rest, and packs the pieces best-fit, the longest first. Nearly full bins are
-final. The underfull bins go up a tree: those of FAN_IN neighbouring nodes meet, count as
-items, are packed best-fit again, and the nearly full ones are final; at the root all are.
+final. The underfull ones are taken apart into bins of one piece, or of what an earlier
+round put together, and go up a tree: those of FAN_IN neighbouring nodes meet, count as
+items, are packed best-fit again, and the nearly full bins are final; at the root all are.
 Only numbers of bins travel, never texts or ids.
 
-A node hands on at most CARRIED bins, the least filled ones; the others are final as they
-are, so a task's memory is bounded and no document is left out.
+A node hands on at most CARRIED items; beyond these its fullest bins are final as they are,
+so a task's memory is bounded and no document is left out.
 
 Defined results: a null or empty text is the closing id alone; repeated ids are packed row
 by row; an empty table gives no rows; other columns are not read.
@@ -60,13 +61,20 @@ def best_fit(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray
     return where, offset, np.array(fills, np.int64)
 
 
-def _final(fills: np.ndarray, capacity: int) -> np.ndarray:
-    """Which bins are final: the nearly full, and beyond CARRIED the fuller ones."""
-    final = fills >= capacity * (1 - NEARLY)
+def _settled(lengths: np.ndarray, capacity: int, all_final: bool = False) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(bin, offset, fill, final) of every item after a round: bins that are not nearly full are taken apart again.
+
+    At most CARRIED items stay open; beyond these, the fullest bins are final as they are.
+    """
+    where, offset, fills = best_fit(lengths, capacity)
+    final = np.ones(len(fills), bool) if all_final else fills >= capacity * (1 - NEARLY)
+    items = np.bincount(where, minlength=len(fills))
     open_bins = np.flatnonzero(~final)
-    if len(open_bins) > CARRIED:
-        final[open_bins[np.argsort(fills[open_bins], kind="stable")[CARRIED:]]] = True
-    return final
+    emptiest = open_bins[np.argsort(fills[open_bins], kind="stable")]
+    final[emptiest[np.cumsum(items[emptiest]) > CARRIED]] = True
+    done = final[where]
+    alone = len(fills) + np.arange(len(lengths))
+    return np.where(done, where, alone), np.where(done, offset, 0), np.where(done, fills[where], lengths), done
 
 
 def _pieces(documents: DataFrame, spec: str, capacity: int, closing: int, with_ids: bool) -> DataFrame:
@@ -83,13 +91,12 @@ def _pieces(documents: DataFrame, spec: str, capacity: int, closing: int, with_i
         def packed() -> pa.RecordBatch:
             nonlocal made, rows, ids
             lengths = np.array([r[3] for r in rows], np.int64)
-            where, offset, fills = best_fit(lengths, capacity)
-            final = _final(fills, capacity)
+            where, offset, fill, final = _settled(lengths, capacity)
             columns = [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()), strict=True)]
-            columns += [pa.array(x) for x in ((node << 36) + made + where, offset, fills[where], np.full(len(rows), node, np.int64), final[where])]
+            columns += [pa.array(x) for x in ((node << 36) + made + where, offset, fill, np.full(len(rows), node, np.int64), final)]
             if with_ids:
                 columns.append(pa.array([np.frombuffer(x, "<u4").astype(np.int32) for x in ids], pa.list_(pa.int32())))
-            made += len(fills)
+            made += 2 * len(rows)
             rows, ids = [], []
             return pa.RecordBatch.from_arrays(columns, names=[c.split()[0] for c in schema.split(", ")] + ["ids"] * with_ids)
 
@@ -121,13 +128,12 @@ def _merged(bins: DataFrame, capacity: int, root: bool) -> DataFrame:
         for one in np.unique(node):
             mine = np.flatnonzero(node == one)
             mine = mine[np.lexsort((number[mine], fill[mine]))]
-            where, at, fills = best_fit(fill[mine], capacity)
-            # a bin keeps the number of the item that it begins with
-            first = np.zeros(len(fills), np.int64)
-            begins = at == 0
-            first[where[begins]] = number[mine][begins]
-            final = np.ones(len(fills), bool) if root else _final(fills, capacity)
-            columns = (number[mine], first[where], at, fills[where], np.full(len(mine), one, np.int64), final[where])
+            where, at, filled, final = _settled(fill[mine], capacity, root)
+            # a bin has the number of the item that it begins with
+            _, bins = np.unique(where, return_inverse=True)
+            first = np.zeros(bins.max() + 1, np.int64)
+            first[bins[at == 0]] = number[mine][at == 0]
+            columns = (number[mine], first[bins], at, filled, np.full(len(mine), one, np.int64), final)
             yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["bin", "into", "at", "fill", "node", "final"])
 
     # a node has at most FAN_IN * CARRIED bins of three numbers
