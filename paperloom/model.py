@@ -62,6 +62,17 @@ METRIC_DIRECTION = {
 }
 PRIMARY_METRICS = ("overall_confidence", "validation_error_count", "review_queued")
 FALLBACK_FACTOR, FALLBACK_EXTRA, FALLBACK_CAP, LEAST_OVERALL = 0.7, 0.10, 0.70, 0.85
+# Official titles of forms; documents of other kinds have none.
+TITLE_OF_FORM = {
+    "supply_request": "보급청구서", "maintenance_record": "정비기록서", "inventory_sheet": "물자현황표", "handover_doc": "인수인계서",
+    "inspection_report": "검사보고서", "equipment_checklist": "전비품 확인서 작성 점검표", "bid_application": "입찰참가신청서", "unknown": "군수 서식 유형 불명",
+}
+# Form types that the fallback reader shares; its others are unknown here.
+FALLBACK_FORMS = ("supply_request", "maintenance_record", "inventory_sheet", "handover_doc", "inspection_report")
+#: Region types that the fallback reader knows; any other is printed text to it.
+FALLBACK_REGIONS = ("text", "table", "figure", "header", "footer", "seal", "formula", "chart")
+#: Below this confidence a region's next reading is given a hint.
+HINT_BELOW = 0.80
 #: Literals that stand for nothing, besides null.
 EMPTY_TOKENS = ("", "None", "{}", "[]")
 
@@ -97,3 +108,28 @@ def nearest_budget(budget: Column) -> Column:
 
 def least_confidence(data_type: Column) -> Column:
     return looked_up(looked_up(data_type, CLASS_OF_TYPE, "text"), LEAST_CONFIDENCE, DEFAULT_LEAST)
+
+
+def form_of_fallback(form: Column) -> Column:
+    return F.when(form.isin(*FALLBACK_FORMS), form).otherwise("unknown")
+
+
+def region_of_fallback(region: Column) -> Column:
+    return F.when(region.isin(*FALLBACK_REGIONS), region).otherwise("printed_text")
+
+
+def title_of(form: Column) -> Column:
+    return looked_up(form, TITLE_OF_FORM)
+
+
+def wants_hint(previous: Column, forced: Column) -> Column:
+    """First readings go without a hint unless it is forced."""
+    return forced | F.coalesce(previous < HINT_BELOW, F.lit(False))
+
+
+def property_type(key: Column, json_type: Column) -> Column:
+    """Data type of a schema's property, by its JSON type and then by its key."""
+    return (
+        F.when(json_type.isin("integer", "number"), "number").when(key.endswith("_date") | (key == "date"), "date").when(key.isin("nsn", "unit_code", "equipment_id"), "code")
+        .when(key.isin("quantity", "stock_qty", "disposal_qty"), "quantity").when(key.isin("unit_price", "total", "grand_total"), "amount").otherwise("text")
+    )

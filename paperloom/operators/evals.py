@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..model import METRIC_DIRECTION, PRIMARY_METRICS
@@ -100,3 +100,33 @@ def run_metric(summary: DataFrame) -> DataFrame:
 def sub_confidence(item: Column) -> Column:
     """The confidence of a variant that is an object, or a triple with it at the end."""
     return F.coalesce(F.try_variant_get(item, "$.confidence", "double"), F.try_variant_get(item, "$[2]", "double"))
+
+
+def stage_times(pages: DataFrame, key: str = "parent_doc_id", timings: str = "timings") -> DataFrame:
+    """Time of every stage over a document's pages, from maps of stage to milliseconds."""
+    return pages.select(key, F.explode(timings).alias("step", "ms")).groupBy(key, "step").agg(F.round(F.sum("ms"), 1).alias("ms"))
+
+
+def traces(trace: DataFrame, *keys: str) -> DataFrame:
+    """Calls, their outcomes and times by trace group (a pixel budget or a skill)."""
+    return trace.groupBy(*keys).agg(F.count("*").alias("n"), F.count_if(F.col("status") == "ok").alias("ok"), F.count_if(F.col("status") == "error").alias("error"), F.round(F.sum("elapsed_ms"), 1).alias("total_ms"), F.round(F.sum("elapsed_ms") / F.count("*"), 1).alias("avg_ms"))
+
+
+def skew_angle(lines: DataFrame, most: float = 10.0) -> DataFrame:
+    """Median angle, in degrees, of a page's lines(doc_id, x1, y1, x2, y2) that are nearly level; pages without one have no row."""
+    angle = F.degrees(F.atan2(F.col("y2") - F.col("y1"), F.col("x2") - F.col("x1")))
+    level = lines.where(F.col("x1") != F.col("x2")).withColumn("angle", angle).where(F.abs("angle") < most)
+    return level.groupBy("doc_id").agg(F.median("angle").alias("angle"))
+
+
+def largest(candidates: DataFrame, by: str, *, most: int = 1, key: str = "doc_id", tie: str = "pos") -> DataFrame:
+    """A page's candidates (circles, contours) with the greatest size."""
+    turn = F.row_number().over(Window.partitionBy(key).orderBy(F.desc(by), tie))
+    return candidates.withColumn("turn", turn).where(F.col("turn") <= most)
+
+
+def snapshot(fields: DataFrame, run: Column) -> DataFrame:
+    """What a run gave for every field, to compare with other runs; log-probabilities as their mean."""
+    n = F.size("token_logprobs")
+    mean = F.when(n > 0, F.aggregate("token_logprobs", F.lit(0.0), lambda s, x: s + x) / n).otherwise(0.0)
+    return fields.select(run.alias("run_idx"), "doc_id", "field_key", F.col("corrected_value").alias("value"), F.round("confidence", 4).alias("confidence"), F.round(mean, 4).alias("logprob"))

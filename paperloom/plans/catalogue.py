@@ -664,3 +664,223 @@ def document_context(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A document's fields in one line, and what its confidences come to."""
     f = _fields(spark, sf_dir).withColumn("line", F.concat_ws("=", "field_key", F.col("l_quantity").cast("int").cast("string")))
     return f.groupBy("doc_id").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("pos", "line"))), lambda x: x["line"]), ";").alias("context"), F.round(F.min("confidence"), 4).alias("confidence_min"), F.round(F.avg("confidence"), 3).alias("confidence_mean"), F.count_if(F.col("confidence") < 0.95).alias("weak"))
+
+
+# Further operators
+
+
+def _flat_regions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _regions(spark, sf_dir).withColumn("model_idx", F.when(F.col("pos") % 3 == 0, (F.col("pos") * 7) % 11)).withColumn("source", F.when(F.col("pos") % 2 == 1, "plus_l").otherwise("v3"))
+
+
+_SQL_MODEL = _SQL_REGIONS + ", m AS (SELECT *, CASE WHEN pos % 3 = 0 THEN (pos * 7) % 11 END AS model_idx, CASE WHEN pos % 2 = 1 THEN 'plus_l' ELSE 'v3' END AS source FROM regions)"
+
+
+@query(f"WITH {_SQL_MODEL} SELECT doc_id, pos, CAST(row_number() OVER (PARTITION BY doc_id ORDER BY model_idx IS NULL, model_idx, pos) - 1 AS INTEGER) AS order_idx FROM m")
+def model_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The layout model's own order, closed up."""
+    return layout.model_order(_flat_regions(spark, sf_dir)).select("doc_id", "pos", "order_idx")
+
+
+@query(
+    f"""WITH {_SQL_MODEL} SELECT doc_id, pos, CAST(row_number() OVER (PARTITION BY doc_id ORDER BY CASE WHEN source = 'plus_l' THEN 2 WHEN model_idx IS NULL THEN 1 ELSE 0 END,
+  CASE WHEN source = 'plus_l' THEN 0 ELSE coalesce(model_idx, 0) END, CASE WHEN source = 'plus_l' THEN y1 ELSE 0 END, CASE WHEN source = 'plus_l' THEN x1 ELSE 0 END, pos) - 1 AS INTEGER) AS order_idx FROM m"""
+)
+def fusion_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return layout.fusion_order(_flat_regions(spark, sf_dir)).select("doc_id", "pos", "order_idx")
+
+
+@query(
+    f"""WITH {_SQL_REGIONS} SELECT doc_id, region_id, 'v3' AS source FROM regions WHERE pos % 2 = 0
+UNION ALL SELECT s.doc_id, s.region_id, 'plus_l' FROM regions s WHERE pos % 2 = 1 AND region_type = 'text' AND NOT EXISTS (SELECT 1 FROM regions p WHERE p.doc_id = s.doc_id AND p.pos % 2 = 0 AND {_sql_covered("s", "p")} >= 0.5)"""
+)
+def fused_regions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Primary regions and what the second model adds."""
+    r = _regions(spark, sf_dir)
+    return layout.fused(r.where("pos % 2 = 0"), r.where("pos % 2 = 1")).select("doc_id", "region_id", "source")
+
+
+@query(
+    f"""WITH {_SQL_REGIONS}, fixed AS (SELECT doc_id, x1 - 4 AS x1, y1 - 3 AS y1, x2 + 2 AS x2, y2 + 1 AS y2 FROM regions WHERE pos = 1)
+SELECT r.doc_id, r.region_id FROM regions r WHERE r.pos % 4 = 0 OR NOT EXISTS (SELECT 1 FROM fixed f WHERE f.doc_id = r.doc_id AND {_sql_iou("r", "f")} > 0.5)"""
+)
+def fixed_text_anti_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Regions without a field go where a fixed text is printed."""
+    r = _regions(spark, sf_dir)
+    b = F.col("box")
+    fixed = r.where("pos = 1").select("doc_id", G.box(b["x1"] - 4, b["y1"] - 3, b["x2"] + 2, b["y2"] + 1).alias("box"))
+    return layout.unlike_fixed(r.withColumn("field_key", F.when(F.col("pos") % 4 == 0, "k")), fixed).select("doc_id", "region_id")
+
+
+@query(
+    f"""WITH {_SQL_REGIONS}, o AS (SELECT doc_id, region_id, row_number() OVER (PARTITION BY doc_id ORDER BY y1, x1, pos) - 1 AS order_idx FROM regions),
+t AS (SELECT doc_id, region_id, lag(region_id) OVER (PARTITION BY doc_id ORDER BY pos) AS into_, pos FROM regions),
+led AS (SELECT o.doc_id, CASE WHEN t.pos % 3 = 1 THEN t.into_ ELSE o.region_id END AS region_id, order_idx FROM o JOIN t USING (doc_id, region_id)),
+f AS (SELECT doc_id, region_id, min(order_idx) AS at_ FROM led GROUP BY ALL)
+SELECT r.doc_id, r.region_id, CAST(row_number() OVER (PARTITION BY r.doc_id ORDER BY at_ IS NULL, at_, r.pos) - 1 AS INTEGER) AS order_idx FROM regions r LEFT JOIN f ON r.doc_id = f.doc_id AND r.region_id = f.region_id WHERE r.pos % 3 <> 1"""
+)
+def order_after_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Reading order when every third region has been taken in by the one before it."""
+    r = _regions(spark, sf_dir)
+    b = F.col("box")
+    order = r.select("doc_id", "region_id", (F.row_number().over(Window.partitionBy("doc_id").orderBy(b["y1"], b["x1"], "pos")) - 1).alias("order_idx"))
+    into = r.select("doc_id", "pos", "region_id", F.lag("region_id").over(Window.partitionBy("doc_id").orderBy("pos")).alias("into")).where("pos % 3 = 1").drop("pos")
+    return layout.order_after_merge(order, r.where("pos % 3 <> 1"), into)
+
+
+@query(
+    f"""WITH {_SQL_LINES}, s AS (SELECT doc_id, pos, CASE WHEN l_partkey % 3 = 0 THEN 'error' ELSE 'ok' END AS status, CASE l_partkey % 4 WHEN 0 THEN 140 WHEN 1 THEN 560 ELSE 1120 END AS pixel_budget, CAST(l_quantity AS INTEGER) AS ms FROM lines)
+SELECT doc_id, pixel_budget, count(*) AS n, count(*) FILTER (status = 'ok') AS ok, count(*) FILTER (status = 'error') AS error, CAST(sum(ms) AS DOUBLE) AS total_ms, round(sum(ms) / CAST(count(*) AS DOUBLE) + 1e-9, 1) AS avg_ms FROM s GROUP BY ALL"""
+)
+def call_traces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Calls and times by pixel budget."""
+    budget = F.when(F.col("l_partkey") % 4 == 0, 140).when(F.col("l_partkey") % 4 == 1, 560).otherwise(1120)
+    t = _lines(spark, sf_dir).select("doc_id", budget.alias("pixel_budget"), F.when(F.col("l_partkey") % 3 == 0, "error").otherwise("ok").alias("status"), F.col("l_quantity").cast("int").cast("double").alias("elapsed_ms"))
+    done = evals.traces(t, "doc_id", "pixel_budget")
+    return done.withColumn("avg_ms", F.round(F.col("total_ms") / F.col("n") + 1e-9, 1))
+
+
+@query(f"WITH {_SQL_LINES} SELECT doc_id, step, round(CAST(sum(ms) AS DOUBLE), 1) AS ms FROM (SELECT doc_id, unnest(['P1', 'P2']) AS step, unnest([CAST(l_quantity AS INTEGER), CAST(l_partkey % 100 AS INTEGER)]) AS ms FROM lines) GROUP BY ALL")
+def stage_times(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Time by stage over the pages of a document."""
+    pages = _lines(spark, sf_dir).select("doc_id", F.create_map(F.lit("P1"), F.col("l_quantity").cast("int").cast("double"), F.lit("P2"), (F.col("l_partkey") % 100).cast("double")).alias("timings"))
+    return evals.stage_times(pages, "doc_id")
+
+
+@query(
+    f"""WITH {_SQL_REGIONS}, a AS (SELECT doc_id, degrees(atan2(y2 - y1, x2 - x1)) AS angle FROM regions WHERE x1 <> x2)
+SELECT doc_id, round(median(angle), 6) AS angle FROM a WHERE abs(angle) < 25 GROUP BY doc_id"""
+)
+def skew_angles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Median angle of a page's lines, here the diagonals of its regions."""
+    found = evals.skew_angle(_flat(_regions(spark, sf_dir)), 25.0)
+    return found.select("doc_id", F.round("angle", 6).alias("angle"))
+
+
+@query(f"WITH {_SQL_REGIONS} SELECT doc_id, pos, CAST(turn AS INTEGER) AS turn FROM (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY (x2 - x1) * (y2 - y1) DESC, pos) AS turn FROM regions) WHERE turn <= 2")
+def largest_regions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The two largest candidates of a page: a top-k operator."""
+    r = _regions(spark, sf_dir).withColumn("area", G.area(F.col("box")))
+    return evals.largest(r, "area", most=2).select("doc_id", "pos", "turn")
+
+
+@query(
+    f"""WITH {_SQL_FIELDS}, v AS (SELECT doc_id, pos, CASE WHEN data_type = 'date' THEN CASE WHEN pos % 2 = 0 THEN strftime(l_shipdate, '%Y') || '년' || month(l_shipdate) || '월' || day(l_shipdate) || '일' ELSE strftime(l_shipdate, '%Y-%m-%d') END
+   WHEN data_type = 'amount' THEN CASE WHEN pos % 3 = 0 THEN CAST(CAST(l_quantity AS INTEGER) AS VARCHAR) ELSE '12 won' END ELSE 'x' END AS v, data_type, l_shipdate FROM fields)
+SELECT doc_id, pos, CASE WHEN data_type = 'date' AND pos % 2 = 0 THEN strftime(l_shipdate, '%Y년 %m월 %d일') ELSE v END AS corrected_value,
+       CASE WHEN data_type = 'date' AND pos % 2 = 1 THEN 1 WHEN data_type = 'amount' AND pos % 3 <> 0 THEN 1 ELSE 0 END AS n_errors FROM v"""
+)
+def field_patterns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Dates and amounts that fit their type's pattern, can be put in form, or are errors."""
+    d = F.col("l_shipdate")
+    korean = F.concat(F.date_format(d, "yyyy"), F.lit("년"), F.month(d), F.lit("월"), F.dayofmonth(d), F.lit("일"))
+    value = F.when(F.col("data_type") == "date", F.when(F.col("pos") % 2 == 0, korean).otherwise(F.date_format(d, "yyyy-MM-dd"))).when(F.col("data_type") == "amount", F.when(F.col("pos") % 3 == 0, F.col("l_quantity").cast("int").cast("string")).otherwise("12 won")).otherwise("x")
+    types = ({"data_type": "date", "pattern": r"^\d{4}년 \d{1,2}월 \d{1,2}일$", "normalize": {"regex": r"(\d{4})년\s*(\d{1,2})월\s*(\d{1,2})일", "template": "{1}년 {2:02d}월 {3:02d}일"}}, {"data_type": "amount", "pattern": r"^\d+$"})
+    done = rules.pattern_errors(_fields(spark, sf_dir).withColumn("corrected_value", value), types, ())
+    return done.select("doc_id", "pos", "corrected_value", F.size("pattern_errors").alias("n_errors"))
+
+
+@query(
+    f"""WITH {_SQL_ERRORS}, keyed AS (SELECT DISTINCT doc_id, field_key, rule_id FROM errors WHERE rule_id IN ('arith', 'dates', 'flag')),
+first AS (SELECT doc_id, field_key, min(CASE rule_id WHEN 'arith' THEN 0 WHEN 'dates' THEN 1 ELSE 2 END) AS k FROM keyed GROUP BY ALL)
+SELECT f.doc_id, f.field_key, k AS first_rule, confidence FROM first JOIN fields f ON first.doc_id = f.doc_id AND first.field_key = f.field_key WHERE NOT was_retried"""
+)
+def consistency_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fields to read again because an error says how."""
+    place = model.looked_up(F.col("rule_id"), {"arith": 0, "dates": 1, "flag": 2, "priority": 3})
+    errors = _line_errors(spark, sf_dir).select("doc_id", place.alias("pos"), "error_type", "field_ref", place.cast("string").alias("message"))
+    fields = _fields(spark, sf_dir)
+    found = reason.consistency_targets(fields, errors, fields.select("doc_id", "field_key"))
+    return found.select("doc_id", "field_key", F.regexp_extract("demand", r"오류: (\d)", 1).cast("int").alias("first_rule"), "confidence")
+
+
+@query(
+    f"""WITH {_SQL_FIELDS}, e(field_key, related_key, ord) AS (VALUES ('line_0', 'line_1', 0), ('line_0', 'line_2', 1), ('line_1', 'line_0', 0)),
+h AS (SELECT w.doc_id, w.field_key, ord, e.related_key, CAST(CAST(s.l_quantity AS INTEGER) AS VARCHAR) AS hint FROM fields w JOIN e ON w.field_key = e.field_key JOIN fields s ON s.doc_id = w.doc_id AND s.field_key = e.related_key
+      WHERE w.confidence < 0.95 AND NOT w.was_retried AND s.confidence >= 0.95)
+SELECT doc_id, field_key, string_agg(related_key || ':' || hint, ',' ORDER BY ord) AS hints FROM h GROUP BY ALL"""
+)
+def context_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Weak fields with the sure values of related ones; weak and sure are set for these confidences."""
+    f = _fields(spark, sf_dir).withColumn("corrected_value", F.col("l_quantity").cast("int").cast("string"))
+    # the tables' confidences lie between 0.9 and 1; spread them so that the operator's limits part them
+    f = f.withColumn("confidence", F.when(F.col("confidence") < 0.95, 0.5).otherwise(0.9))
+    found = reason.context_targets(f, f.select("doc_id", "field_key"), reason.edges(spark, {"line_0": ("line_1", "line_2"), "line_1": ("line_0",)}))
+    return found.select("doc_id", "field_key", F.array_join(F.transform(F.map_entries("hints"), lambda e: F.concat_ws(":", e["key"], e["value"])), ",").alias("hints"))
+
+
+@query(
+    f"""WITH {_SQL_FIELDS}, l AS (SELECT doc_id, CASE data_type WHEN 'amount' THEN 'unit_price_' || pos WHEN 'date' THEN 'head.date' || pos WHEN 'code' THEN 'nsn_' || pos ELSE 'note_' || pos END AS path, pos, confidence, data_type FROM fields)
+SELECT doc_id, path, CASE data_type WHEN 'amount' THEN 'amount' WHEN 'date' THEN 'date' WHEN 'code' THEN 'code' ELSE 'text' END AS kind, CASE WHEN data_type = 'date' THEN 0.5 ELSE confidence END AS confidence FROM l"""
+)
+def leaf_confidences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Types and confidences of assembled leaves; nested paths come from no field."""
+    n = F.col("pos").cast("string")
+    path = F.when(F.col("data_type") == "amount", F.concat(F.lit("unit_price_"), n)).when(F.col("data_type") == "date", F.concat(F.lit("head.date"), n)).when(F.col("data_type") == "code", F.concat(F.lit("nsn_"), n)).otherwise(F.concat(F.lit("note_"), n))
+    f = _fields(spark, sf_dir).withColumn("path", path)
+    leaves = f.select("doc_id", "path", F.lit("x").alias("value"), F.lit(None).cast("double").alias("stated"))
+    return score.leaf_confidences(leaves, f.select("doc_id", "pos", F.col("path").alias("field_key"), "confidence"))
+
+
+@query(
+    """SELECT c_custkey, CASE WHEN starts_with(address, 'NATION_1') THEN 'ONE' WHEN starts_with(address, 'NATION_2') THEN 'TWO' WHEN starts_with(address, 'NAT') THEN 'REST' ELSE coalesce(CASE c_mktsegment WHEN 'BUILDING' THEN 'HOUSES' END, c_mktsegment) END AS location
+FROM (SELECT *, CASE WHEN c_custkey % 3 = 0 THEN 'unknown' ELSE 'NATION_' || c_nationkey || ' street' END AS address FROM customer)"""
+)
+def location_correction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A location by its address's city, else by its alias."""
+    c = _table(spark, sf_dir, "customer")
+    address = F.when(F.col("c_custkey") % 3 == 0, "unknown").otherwise(F.concat(F.lit("NATION_"), F.col("c_nationkey").cast("string"), F.lit(" street")))
+    aliases = {"NATION_1": "ONE", "NATION_2": "TWO", "NAT": "REST", "BUILDING": "HOUSES"}
+    return c.select("c_custkey", correct.location_corrected(F.col("c_mktsegment"), address, (), aliases).alias("location"))
+
+
+@query(
+    f"""WITH q AS ({_SQL_QUEUE}), s AS (SELECT queue_id % 500 AS item, status, enqueued_at, queue_id FROM q)
+SELECT item AS queue_id, arg_max(status, (enqueued_at, status)) AS status FROM s GROUP BY item"""
+)
+def queue_states(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The last state of every item from its changes."""
+    changes = _queue(spark, sf_dir).select((F.col("queue_id") % 500).alias("queue_id"), "status", F.col("enqueued_at").alias("at"))
+    return route.latest_status(changes).select("queue_id", "status")
+
+
+@query(
+    f"""WITH {_SQL_TRIALS} SELECT trial, CASE WHEN validation_error_count > 7 THEN 'many' ELSE 'few' END AS errors, count(*) AS documents, round(avg(validation_error_count), 4) AS validation_error_count FROM trials GROUP BY ROLLUP (trial, errors)"""
+)
+def trial_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Means of trials by form, by trial and in all."""
+    after, before = _trials(spark, sf_dir)
+    both = after.withColumn("trial", F.lit("after")).unionByName(before.withColumn("trial", F.lit("before")))
+    rows = both.withColumn("errors", F.when(F.col("validation_error_count") > 7, "many").otherwise("few"))
+    return evals.trial_report(rows, "trial", "errors").select("trial", "errors", "documents", "validation_error_count")
+
+
+@query(
+    """SELECT user_id, event_type, array_to_string(list_slice(list_sort(list(DISTINCT CAST(json_extract(props, '$.k') AS INTEGER))), 1, 4), ',') AS shown, count(DISTINCT CAST(json_extract(props, '$.k') AS INTEGER)) = 1 AS consistent FROM events GROUP BY ALL"""
+)
+def value_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first distinct values of repeated runs, and whether there is one only; a report's limit."""
+    v = _table(spark, sf_dir, "events").select("user_id", "event_type", X.json_at(F.try_parse_json("props"), "k", "int").alias("value"))
+    shown = evals.distinct_values(v, "user_id", "event_type")
+    one = evals.consistency(v, "user_id", "event_type")
+    return shown.join(one, ["user_id", "event_type"]).select("user_id", "event_type", F.array_join(F.transform("values", lambda x: x.cast("string")), ",").alias("shown"), "consistent")
+
+
+@query("""SELECT o_orderkey, '{"o_orderkey":' || o_orderkey || ',"o_orderpriority":"' || o_orderpriority || '","note":null}' AS json_output FROM orders""")
+def json_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as JSON, nulls kept."""
+    o = _table(spark, sf_dir, "orders").withColumn("note", F.lit(None).cast("string"))
+    return sinks.serialized(o, ["o_orderkey", "o_orderpriority", "note"], ("json",)).select("o_orderkey", "json_output")
+
+
+@query(
+    """SELECT p_partkey, CASE WHEN p_size % 3 = 0 THEN 'supply_request' ELSE 'unknown' END AS form, CASE p_size % 4 WHEN 0 THEN 'text' WHEN 1 THEN 'seal' ELSE 'printed_text' END AS region,
+       CASE WHEN p_size % 3 = 0 THEN '보급청구서' ELSE '군수 서식 유형 불명' END AS title, p_size < 20 OR (p_size % 2 = 0 AND p_retailprice < 950) AS hinted FROM part"""
+)
+def fallback_types(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Types as the fallback reader has them, titles, and which regions get a hint."""
+    p = _table(spark, sf_dir, "part")
+    form = model.form_of_fallback(F.when(F.col("p_size") % 3 == 0, "supply_request").otherwise("receipt"))
+    region = model.region_of_fallback(F.when(F.col("p_size") % 4 == 0, "text").when(F.col("p_size") % 4 == 1, "seal").otherwise("signature"))
+    previous = F.when(F.col("p_size") % 2 == 0, F.when(F.col("p_retailprice") < 950, 0.79).otherwise(0.8))
+    return p.select("p_partkey", form.alias("form"), region.alias("region"), model.title_of(form).alias("title"), model.wants_hint(previous, F.col("p_size") < 20).alias("hinted"))

@@ -114,3 +114,23 @@ def template_rows(spark: SparkSession, templates: list[dict]) -> DataFrame:
             size = v.get("page_size") or t.get("page_size") or [0, 0]
             rows += [(t["form_type"], n, str(v.get("version", "")), v.get("form_identifier"), int(size[0]), int(size[1]), k, f.get("field_key"), f.get("region_type", "text"), *(int(x) for x in f["bbox"])) for k, f in enumerate(v.get("fields", []))]
     return spark.createDataFrame(rows, "form_type string, version_ord int, version string, form_identifier string, page_w int, page_h int, ord int, field_key string, region_type string, x1 int, y1 int, x2 int, y2 int")
+
+
+def sub_schema(schema: dict, field_key: str) -> dict:
+    """The part of a JSON schema that one field is asked for with, pruned on the driver.
+
+    A numbered checklist item has the item's schema with its number fixed; a path of two
+    steps has its leaf alone; a path of one, or a property of the field's name, has that
+    property; anything else has the whole schema.
+    """
+    properties = schema.get("properties") or {}
+    if field_key.startswith("result_item_") and field_key.removeprefix("result_item_").isdigit():
+        item = schema.get("x-checklist-item-schema") or (properties.get("checklist_items") or {}).get("items")
+        if item:
+            number = {"type": "integer", "const": int(field_key.removeprefix("result_item_"))}
+            return item | {"properties": (item.get("properties") or {}) | {"item_number": number}}
+    top, *rest = ((schema.get("x-assembly-rules") or {}).get(field_key) or field_key).split(".")
+    inner = properties.get(top)
+    if rest and inner and rest[-1] in (inner.get("properties") or {}):
+        return {"type": "object", "properties": {rest[-1]: inner["properties"][rest[-1]]}, "required": [rest[-1]]}
+    return inner or properties.get(field_key) or schema

@@ -33,6 +33,11 @@ def titled(assembled: Column, title: Column) -> Column:
     return F.when(title.isNull(), assembled).when(F.trim(body) == "}", F.concat(head, body)).otherwise(F.concat(head, F.lit(","), body))
 
 
+def without_title(fields: DataFrame) -> DataFrame:
+    """Fields but for a title that was read: titles come from the form."""
+    return fields.where(F.coalesce(F.col("field_key") != "document_title", F.lit(True)))
+
+
 def final_output(assembled: Column, fields: Column) -> Column:
     return F.coalesce(assembled, F.to_json(fields))
 
