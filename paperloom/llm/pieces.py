@@ -17,9 +17,12 @@ table; other columns are kept as they are, whatever their names.
 
 from __future__ import annotations
 
+import math
 import re
-from collections.abc import Iterator
+from array import array
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import ahocorasick
 import numpy as np
@@ -35,7 +38,7 @@ _LITERAL = "\ud800"
 #: What an unknown character's score is below the lowest of all pieces.
 PENALTY = 10.0
 #: Segments whose ids are kept, and the longest of these.
-MEMORY, LONGEST_KEPT = 400_000, 24
+MEMORY, LONGEST_KEPT = 800_000, 24
 _SEGMENTS = re.compile(f"{BLANK}+[^{BLANK}]*|[^{BLANK}]+")
 
 
@@ -58,6 +61,22 @@ class Vocabulary:
         return Vocabulary([model.id_to_piece(i) if plain[i] else None for i in range(n)], [model.get_score(i) for i in range(n)], [by_value[f"<0x{b:02X}>"] for b in range(256)])
 
 
+class _Kept(dict):
+    """Ids of segments, as bytes, found when they are first asked for."""
+
+    def __init__(self, codec: Codec) -> None:
+        super().__init__()
+        self.codec = codec
+
+    def __missing__(self, segment: str) -> bytes:
+        out = array("i", self.codec.best(segment)).tobytes()
+        if len(segment) <= LONGEST_KEPT:
+            if len(self) >= MEMORY:
+                self.clear()
+            self[segment] = out
+        return out
+
+
 class Codec:
     def __init__(self, vocabulary: Vocabulary) -> None:
         self.automaton = ahocorasick.Automaton()
@@ -71,70 +90,52 @@ class Codec:
         self.spelt: dict[int, bytes] = {i: p.replace(BLANK, " ").encode() for i, p in known} | {i: bytes([b]) for b, i in enumerate(vocabulary.byte_ids)}
         self.lines_apart = not any("\n" in p for _, p in known)
         self.words_apart = not any(BLANK in p.lstrip(BLANK) for _, p in known)
-        self.kept: dict[str, bytes] = {}
+        self.kept = _Kept(self)
 
     def best(self, segment: str) -> list[int]:
         """Ids of the segmentation with the greatest sum of scores; of equal ones, that with the longer last piece."""
         n = len(segment)
-        score, back = [0.0] + [-np.inf] * n, [(0, -1)] * (n + 1)
-        done = 0
-
-        def unknowns(upto: int) -> None:
-            nonlocal done
-            for at in range(done, upto):
-                if segment[at] not in self.single and score[at] + self.unknown > score[at + 1]:
-                    score[at + 1], back[at + 1] = score[at] + self.unknown, (at, -1)
-            done = max(done, upto)
-
+        score, back = [0.0] + [-math.inf] * n, [(1, -1)] * (n + 1)
+        strange = [at for at, sign in enumerate(segment) if sign not in self.single]
         for end, (length, value, i) in self.automaton.iter(segment):
-            unknowns(end)
-            start = end + 1 - length
-            if score[start] + value > score[end + 1]:
-                score[end + 1], back[end + 1] = score[start] + value, (start, i)
-        unknowns(n)
+            while strange and strange[0] < end:
+                self._unknown(strange.pop(0), score)
+            total = score[end + 1 - length] + value
+            if total > score[end + 1]:
+                score[end + 1], back[end + 1] = total, (length, i)
+        for at in strange:
+            self._unknown(at, score)
         out, at = [], n
         while at:
-            start, i = back[at]
+            length, i = back[at]
+            at -= length
             if i >= 0:
                 out.append(i)
             else:
-                sign = BLANK if segment[start] == _LITERAL else segment[start]
+                sign = BLANK if segment[at] == _LITERAL else segment[at]
                 out += [self.byte_ids[b] for b in reversed(sign.encode())]
-            at = start
-        return out[::-1]
-
-    def _ids(self, segment: str) -> bytes:
-        out = self.kept.get(segment)
-        if out is None:
-            out = np.array(self.best(segment), np.int32).tobytes()
-            if len(segment) <= LONGEST_KEPT:
-                if len(self.kept) >= MEMORY:
-                    self.kept.clear()
-                self.kept[segment] = out
+        out.reverse()
         return out
 
-    def _segments(self, text: str) -> Iterator[str]:
+    def _unknown(self, at: int, score: list[float]) -> None:
+        """Relax the end of a character that is no piece, before anything that ends later does."""
+        if score[at] + self.unknown > score[at + 1]:
+            score[at + 1] = score[at] + self.unknown
+
+    def _segments(self, text: str) -> Iterable[str]:
         if BLANK in text:
             text = text.replace(BLANK, _LITERAL)
-        marked = BLANK + text.replace(" ", BLANK)
         if not self.words_apart:
-            yield marked
-            return
-        for k, line in enumerate(marked.split("\n") if self.lines_apart else [marked]):
-            if k:
-                yield "\n"
-            if BLANK * 2 in line:
-                yield from _SEGMENTS.findall(line)
-            elif line:
-                first, *rest = line.split(BLANK)
-                if first:
-                    yield first
-                for word in rest:
-                    yield BLANK + word
+            return [BLANK + text.replace(" ", BLANK)]
+        if self.lines_apart and "  " not in text and text[:1] != " ":
+            return filter(None, (BLANK + text.replace(" ", " " + BLANK).replace("\n", " \n ")).split(" "))
+        marked = BLANK + text.replace(" ", BLANK)
+        lines = marked.split("\n") if self.lines_apart else [marked]
+        return chain.from_iterable((["\n"] if k else []) + _SEGMENTS.findall(line) for k, line in enumerate(lines))
 
     def encode(self, text: str | None) -> bytes:
         """Ids as int32 bytes."""
-        return b"".join(map(self._ids, self._segments(text))) if text else b""
+        return b"".join(map(self.kept.__getitem__, self._segments(text))) if text else b""
 
     def decode(self, ids: np.ndarray) -> str:
         out = b"".join(map(self.spelt.__getitem__, ids.tolist())).decode("utf-8", "replace")
