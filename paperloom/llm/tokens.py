@@ -12,7 +12,7 @@ from tokenizers import Tokenizer
 #: Characters that no normal form joins with a neighbour, and whose only white space is tab, line ends and blank.
 _PLAIN = re.compile("[^\t\n\r\x20-\x7e\xa1-\xff]")
 #: Words whose ids are kept; when so many are held, the memory begins anew.
-MEMORY = 400_000
+MEMORY = 800_000
 LONGEST_KEPT = 24
 
 
