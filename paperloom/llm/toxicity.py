@@ -41,6 +41,8 @@ SIGNS = "0134578@$€!|+"
 SIGN_LETTERS = "oieastbaseiit"
 
 PER_CLASS = 2500
+#: Least log odds of an entry's rate per word in toxic texts.
+LEAST_ODDS = 3.0
 MIN_SUPPORT = 5
 STEM_LENGTHS = range(4, 9)
 #: Density (hits per word) that counts as toxic while nothing has been learnt.
@@ -127,39 +129,59 @@ def density(text: str | None, automaton: ahocorasick.Automaton) -> tuple[float,
     return sum(w for *_, w in found) / max(1, len(text.split())), len(found)
 
 
-def _forms(text: str) -> set[str]:
-    """Whole words as they are, and their stems with a dash at the end."""
-    words = set(_WORD.findall(fold(text)))
-    return words | {f"{w[:n]}-" for w in words for n in STEM_LENGTHS if len(w) > n}
+def _forms(text: str) -> tuple[Counter, int]:
+    """How often each whole word stands in the text, and each stem, with a dash at its end; and the number of words."""
+    words = Counter(_WORD.findall(fold(text)))
+    stems: Counter = Counter()
+    for w, times in words.items():
+        for n in STEM_LENGTHS:
+            if len(w) > n:
+                stems[f"{w[:n]}-"] += times
+    return words + stems, words.total()
 
 
 def learn(rows: Iterable[tuple[str, int]]) -> Lexicon:
-    """A lexicon from labelled texts: the seed words, then what covers toxic texts and hardly any other.
+    """A lexicon from labelled texts: the seed words, then what stands in toxic texts far more often than in others.
 
     Words and stems are taken greedily by the number of toxic texts they newly cover; a
-    weight is the smoothed log odds over that of the strongest entry.
+    weight is the smoothed log odds of their rates per word, over that of the strongest
+    entry. An entry may stand in clean texts by chance: the density tells these apart.
     """
     rows = list(rows)
-    toxic = [_forms(t) for t, y in rows if y == 1]
-    bad = Counter(f for forms in toxic for f in forms)
-    wanted = {f for f, n in bad.items() if n >= MIN_SUPPORT}
-    clean, n_clean = Counter(), 0
+    toxic, bad, bad_words = [], Counter(), 1
+    for t, y in rows:
+        if y == 1:
+            forms, n = _forms(t)
+            toxic.append(set(forms))
+            bad.update(forms)
+            bad_words += n
+    texts = Counter(f for forms in toxic for f in forms)
+    wanted = {f for f, n in texts.items() if n >= MIN_SUPPORT}
+    clean, clean_words = Counter(), 1
     for t, y in rows:
         if y == 0:
-            n_clean += 1
-            clean.update(wanted & _forms(t))
-    odds = {f: math.log((bad[f] + 0.5) / (len(toxic) + 1)) - math.log((clean[f] + 0.5) / (n_clean + 1)) for f in wanted}
-    strong = {f for f in wanted if clean[f] <= 0.02 * bad[f] and odds[f] >= 2.5}
+            forms, n = _forms(t)
+            clean.update({f: c for f, c in forms.items() if f in wanted})
+            clean_words += n
+    odds = {f: math.log((bad[f] + 0.5) / bad_words) - math.log((clean[f] + 0.5) / clean_words) for f in wanted}
+    strong = {f for f in wanted if odds[f] >= LEAST_ODDS}
     where: dict[str, set[int]] = {}
     for k, forms in enumerate(toxic):
         for f in forms & strong:
             where.setdefault(f, set()).add(k)
-    # a stem that one whole word accounts for says no more than that word
-    for word in {*SEED_WORDS, *(f for f in where if not f.endswith("-"))}:
+    # a stem goes where a word or a longer stem that begins with it covers nearly as much, or half as much far more surely
+    for f in sorted(where, key=len, reverse=True):
+        stem = f.removesuffix("-")
+        for n in STEM_LENGTHS:
+            shorter = f"{stem[:n]}-"
+            if n < len(stem) and shorter in where and f in where:
+                share = len(where[f]) / len(where[shorter])
+                if share >= 0.9 and clean[f] <= clean[shorter] or share >= 0.5 and odds[f] >= odds[shorter] + 1.5:
+                    del where[shorter]
+    for word in SEED_WORDS:
         for n in STEM_LENGTHS:
-            stem = f"{word[:n]}-"
-            if stem in where and len(where[stem] - where.get(word, set())) < MIN_SUPPORT:
-                del where[stem]
+            if len(where.get(f"{word[:n]}-", set()) - where.get(word, set())) < MIN_SUPPORT:
+                where.pop(f"{word[:n]}-", None)
     taken: dict[str, float] = {}
     # An entry that tells toxic texts apart covers many of them; a rare invented word is in a few by chance.
     least = max(MIN_SUPPORT, math.ceil(0.004 * len(toxic)))
@@ -175,7 +197,7 @@ def learn(rows: Iterable[tuple[str, int]]) -> Lexicon:
         if once:
             floor = max(8 * least, 0.05 * len(toxic))
             for f in sorted(where):
-                if len(where[f]) >= floor and not any(f.startswith(s[:-1]) for s in taken if s.endswith("-")):
+                if len(where[f]) >= floor and not any(f.startswith(s[:-1]) or s.startswith(f[:-1]) for s in taken if s.endswith("-")):
                     taken[f] = odds[f]
     top = max(taken.values(), default=1.0)
     scale = {f: round(max(0.25, w / top), 4) for f, w in taken.items()}
