@@ -39,6 +39,8 @@ BITS, SEED = 64, 42
 BUCKET = 4096
 #: Fingerprints compared at once with all that follow in their bucket.
 ROWS_AT_ONCE = 256
+#: Bits of the bitmap that tells documents which certainly stay: at most 8 MB to broadcast.
+MARKS = 1 << 26
 _LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
 
 
@@ -220,7 +222,26 @@ def simhash_digest(documents: DataFrame) -> DataFrame:
 
 
 def one_of_each(documents: DataFrame, words: int = 5, most: int = 6) -> DataFrame:
-    """One document of each group: the one with the smallest id, in the columns of documents; of repeated ids one row, and every row without an id."""
-    classes = near_duplicates(documents, words, most).where("doc_id = component").select("doc_id").distinct()
-    kept = documents.join(classes, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return kept.unionByName(documents.where("doc_id is null")).select(*[f"`{c}`" for c in documents.columns])
+    """One document of each group: the one with the smallest id, in the columns of documents; of repeated ids one row, and every row without an id.
+
+    Texts stay where they are, but for those whose id may be one to drop or a repeated one:
+    a bitmap of MARKS bits over hashes of such ids, at most MARKS / 8 bytes however many
+    there are, lets all others pass, and only the marked rows are joined with the ids.
+    """
+    slim = near_duplicates(documents, words, most).where("doc_id is not null")
+    counts = written(slim.groupBy("doc_id").agg(F.count("*").alias("n"), F.min("component").alias("component")), "classes")
+    marked = counts.where("n > 1 or doc_id <> component")
+    bitmaps = marked.select(F.bitmap_bucket_number(_mark("doc_id")).alias("__bucket"), F.bitmap_bit_position(_mark("doc_id")).alias("bit"))
+    bitmaps = F.broadcast(written(bitmaps.groupBy("__bucket").agg(F.bitmap_construct_agg("bit").alias("__bits")), "bitmaps"))
+    columns = [f"`{c}`" for c in documents.columns]
+    seen = documents.select(*columns, F.bitmap_bucket_number(_mark("doc_id")).alias("__bucket"), F.bitmap_bit_position(_mark("doc_id")).alias("__bit")).join(bitmaps, "__bucket", "left")
+    byte = F.conv(F.hex(F.substring(F.col("__bits"), (F.col("__bit") / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    unsure = F.coalesce(F.col("doc_id").isNotNull() & (F.getbit(byte, (F.col("__bit") % 8).cast("int")) == 1), F.lit(False))
+    gone = marked.where("doc_id <> component").select("doc_id")
+    checked = seen.where(unsure).join(gone, "doc_id", "left_anti").dropDuplicates(["doc_id"])
+    return seen.where(~unsure).select(*columns).unionByName(checked.select(*columns))
+
+
+def _mark(column: str):
+    """The bit of an id."""
+    return F.pmod(F.xxhash64(column), F.lit(MARKS))
