@@ -1,9 +1,9 @@
 """Main text of web pages, by a linear-chain conditional random field over DOM leaf blocks.
 
 Each block is in one of two states, boilerplate or main text. Its features are the tags and
-the class, id and role words of its ancestors, its text's length, links and signs, and its
-place in the page; neighbours are tied by transition weights, which depend on whether the
-blocks share a container. Weights maximise the penalised likelihood of labelled pages
+the class, id and role words of its ancestors, and its text's length, links and signs;
+neighbours are tied by transition weights, which depend on whether the blocks share a
+container. Weights maximise the penalised likelihood of labelled pages
 (labelled_pages makes them, in many layouts and with text of every kind), with gradients
 from forward-backward sums; a page is decoded by Viterbi.
 
@@ -29,7 +29,7 @@ from .dom import Block, blocks
 from .shared import appended, small_batches
 
 #: Pages that the field is trained on; the bound of training.
-TRAINING_PAGES, SEED = 700, 5
+TRAINING_PAGES, SEED = 900, 5
 STEPS, RATE, RIDGE = 150, 0.15, 2e-4
 _SIGN = re.compile(r"©|\bcopyright\b|all rights reserved|\bcookies?\b|\bsubscribe\b|\bnewsletter\b|\bsign in\b|\blog ?in\b|privacy policy|terms of", re.I)
 
@@ -60,8 +60,7 @@ def text_features(block: Block) -> tuple[str, ...]:
 
 
 def features(page: list[Block]) -> list[tuple[str, ...]]:
-    last = len(page) - 1
-    return [path_features(b.path) + text_features(b) + (("first",) if k == 0 else ()) + (("last",) if k == last else ()) for k, b in enumerate(page)]
+    return [path_features(b.path) + text_features(b) for b in page]
 
 
 def ties(page: list[Block]) -> list[int]:
@@ -245,6 +244,10 @@ class _Writer:
         inner = self.r.choice((f"<div>{_BOILER}{self.prose(1, 4)}</div>", f"<h1>{_BOILER}{self.prose(1, 4)}</h1>", f"{_BOILER}{self.prose(1, 20)}", f'<a href="/">{_BOILER}{self.prose(1, 3)}</a>'))
         return self.named("div", "header masthead topbar logo sitename branding", inner + self.maybe(0.4, self.menu()), "header" if self.r.random() < 0.9 else "")
 
+    def social(self) -> str:
+        inner = self.r.choice((f'<a href="#">{_BOILER}{self.prose(1, 2)}</a>', self.links(1, 4), f"<p>{_BOILER}{self.prose(1, 12)}</p>", f"{_BOILER}{self.prose(1, 4)}"))
+        return self.named(self.r.choice(("div", "div", "ul", "p")), "share social sharing buttons tags newsletter subscribe signup follow", inner)
+
     def remarks(self) -> str:
         rows = "".join(f'<{(t := self.r.choice(("div", "li", "p")))} {self.maybe(0.7, "class=comment")}>{_BOILER}{self.prose(2, 60)}</{t}>' for _ in range(self.r.randint(1, 6)))
         return self.named(self.r.choice(("div", "section", "ol")), "comments comment remarks replies discussion responses disqus", self.maybe(0.6, f"<h3>{_BOILER}{self.prose(1, 3)}</h3>") + rows + self.maybe(0.3, self.form()))
@@ -265,15 +268,17 @@ class _Writer:
             return "<table>" + "".join(f"<tr><td>{_MAIN}{self.prose(1, 4)}</td><td>{_MAIN}{self.prose(1, 4)}</td></tr>" for _ in range(self.r.randint(1, 3))) + "</table>"
         if way < 0.24:
             return f"<p><b>{text}<br>"
-        if way < 0.3:
+        if way < 0.28:
+            return f"{text} <b>{self.prose(1, 3)}</b> {self.prose(1, 9)}"
+        if way < 0.34:
             return f'<p>{text} <a href="/{self.word()}">{self.prose(1, 3)}</a> {self.prose(1, 10)}</p>'
         return f"<p>{text}</p>"
 
     def article(self) -> str:
-        inner = self.maybe(0.8, f"<h1>{_MAIN}{self.prose(1, 9)}</h1>")
+        inner = self.maybe(0.05, self.menu()) + self.maybe(0.7, f"<h1>{_MAIN}{self.prose(1, 9)}</h1>")
         for _ in range(self.r.randint(1, 12)):
-            inner += self.paragraph() + self.maybe(0.04, self.advert()) + self.maybe(0.02, self.sidebar()) + self.maybe(0.02, self.form()) + self.maybe(0.01, self.notice())
-        inner += self.maybe(0.1, self.remarks())
+            inner += self.paragraph() + self.maybe(0.04, self.advert()) + self.maybe(0.02, self.sidebar()) + self.maybe(0.02, self.form()) + self.maybe(0.01, self.notice()) + self.maybe(0.01, self.social())
+        inner += self.maybe(0.12, self.social()) + self.maybe(0.1, self.remarks())
         way = self.r.random()
         if way < 0.5:
             return f"<article{self.maybe(0.3, ' class=post')}>{inner}{self.maybe(0.95, '</article>')}"
@@ -289,7 +294,7 @@ class _Writer:
         out += self.maybe(0.15, self.notice()) + self.maybe(0.5, self.header()) + self.maybe(0.7, self.menu()) + self.maybe(0.4, self.advert()) + self.maybe(0.1, self.form()) + self.maybe(0.15, self.sidebar())
         out += self.maybe(0.97, self.article())
         out += self.maybe(0.25, self.remarks()) + self.maybe(0.25, self.sidebar()) + self.maybe(0.2, self.advert()) + self.maybe(0.1, self.form()) + self.maybe(0.1, self.notice())
-        return out + self.maybe(0.85, self.footer()) + self.maybe(0.9, "</body></html>")
+        return out + self.maybe(0.75, self.footer()) + self.maybe(0.9, "</body></html>")
 
 
 def labelled_pages(number: int = TRAINING_PAGES, seed: int = SEED) -> list[tuple[list[Block], list[int]]]:
