@@ -148,14 +148,13 @@ def learn(rows: Iterable[tuple[str, int]]) -> Lexicon:
     entry. An entry may stand in clean texts by chance: the density tells these apart.
     """
     rows = list(rows)
-    toxic, bad, bad_words = [], Counter(), 1
-    for t, y in rows:
-        if y == 1:
-            forms, n = _forms(t)
-            toxic.append(set(forms))
-            bad.update(forms)
-            bad_words += n
-    texts = Counter(f for forms in toxic for f in forms)
+    toxic = [t for t, y in rows if y == 1]
+    texts, bad, bad_words = Counter(), Counter(), 1
+    for t in toxic:
+        forms, n = _forms(t)
+        texts.update(forms.keys())
+        bad.update(forms)
+        bad_words += n
     wanted = {f for f, n in texts.items() if n >= MIN_SUPPORT}
     clean, clean_words = Counter(), 1
     for t, y in rows:
@@ -166,8 +165,8 @@ def learn(rows: Iterable[tuple[str, int]]) -> Lexicon:
     odds = {f: math.log((bad[f] + 0.5) / bad_words) - math.log((clean[f] + 0.5) / clean_words) for f in wanted}
     strong = {f for f in wanted if odds[f] >= LEAST_ODDS}
     where: dict[str, set[int]] = {}
-    for k, forms in enumerate(toxic):
-        for f in forms & strong:
+    for k, t in enumerate(toxic):
+        for f in strong & _forms(t)[0].keys():
             where.setdefault(f, set()).add(k)
     # a stem goes where a word or a longer stem that begins with it covers nearly as much, or half as much far more surely
     for f in sorted(where, key=len, reverse=True):
