@@ -60,8 +60,7 @@ def _ranges(urls: DataFrame, ranges: int) -> list[tuple[str, int]]:
     n = urls.count()
     sample = urls if n <= SAMPLED else urls.sample(min(1.0, SAMPLED / n), 11)
     keys = sorted((r.key, r.spread) for r in sample.select("key", "spread").limit(4 * SAMPLED).collect())
-    step = max(1, len(keys) // max(1, ranges))
-    return sorted(set(keys[step::step]))[: ranges - 1]
+    return sorted({keys[k * len(keys) // ranges] for k in range(1, ranges)}) if keys else []
 
 
 def judge_urls(urls: DataFrame, rules: DataFrame, key: str = "page_id", url: str = "url", default: str = DEFAULT, ranges: int | None = None) -> DataFrame:
@@ -120,7 +119,7 @@ def judge_urls(urls: DataFrame, rules: DataFrame, key: str = "page_id", url: str
                 verdicts.append(fits[2] if fits else default)
             yield pa.RecordBatch.from_arrays([pa.array(ids, batch.schema.field("id").type), *(pa.array(c, pa.string()) for c in (hosts, paths, named, verdicts))], names=[key, "host", "path", "rule", "verdict"])
 
-    both = left.unionByName(right).repartition(ranges, "range").sortWithinPartitions("range", "key", "side", "ord")
+    both = left.unionByName(right).repartitionById(ranges, "range").sortWithinPartitions("range", "key", "side", "ord")
     return both.mapInArrow(sweep, f"`{key}` {kind}, host string, path string, rule string, verdict string")
 
 
