@@ -66,9 +66,16 @@ def parsed_date(value: Column, korean: bool = True, old_century: bool = True) ->
 
 
 def date_order_holds(dates: list[Column]) -> Column:
-    """Whether the dates that are there do not decrease; fewer than two do."""
-    there = F.filter(F.array(*dates), lambda d: d.isNotNull())
-    return F.coalesce(F.forall(F.sequence(F.lit(0), F.size(there) - 2), lambda k: F.get(there, k) <= F.get(there, k + 1)) | (F.size(there) < 2), F.lit(True)) if len(dates) > 1 else F.lit(True)
+    """Whether the dates that are there do not decrease; fewer than two do. A fold, so that each date is parsed once."""
+    if len(dates) < 2:
+        return F.lit(True)
+    start = F.struct(F.lit(None).cast("date").alias("last"), F.lit(True).alias("holds"))
+    return F.aggregate(
+        F.array(*dates),
+        start,
+        lambda s, d: F.struct(F.coalesce(d, s["last"]).alias("last"), (s["holds"] & F.coalesce(s["last"] <= d, F.lit(True))).alias("holds")),
+        lambda s: s["holds"],
+    )
 
 
 def fenced(text: Column) -> Column:

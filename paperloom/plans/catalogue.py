@@ -117,9 +117,9 @@ def _line_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
         "unit": F.lit(3000), "ordered": F.date_format("o_orderdate", "yyyy-MM-dd"), "shipped": F.date_format("l_shipdate", "yyyy-MM-dd"),
         "priority": F.when(F.col("o_orderpriority") == "4-NOT SPECIFIED", " ").otherwise(F.col("o_orderpriority")),
     })
-    found = rules.with_rule_errors(joined, LINE_RULES, get).select("doc_id", "field_key", F.explode("errors").alias("e"))
+    found = rules.failures(joined, LINE_RULES, get, "doc_id", "field_key")
     # an error of a line refers to that line
-    return found.select("doc_id", "field_key", "e.rule_id", "e.error_type", "e.severity", F.col("field_key").alias("field_ref"))
+    return found.select("doc_id", "field_key", "rule_id", "error_type", "severity", F.col("field_key").alias("field_ref"))
 
 
 _SQL_ERRORS = (
