@@ -34,11 +34,21 @@ def shared_dir(spark: SparkSession) -> str:
 
 def written(df: DataFrame, label: str) -> DataFrame:
     """df, written once as Parquet in the shared folder and read from there: its lineage ends here."""
-    path = os.path.join(shared_dir(df.sparkSession), "paperloom", f"{label}-{uuid.uuid4().hex}")
+    path = os.path.join(_session_dir(df.sparkSession), f"{label}-{uuid.uuid4().hex}")
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def _session_dir(spark: SparkSession) -> str:
+    return os.path.join(shared_dir(spark), "paperloom", spark.sparkContext.applicationId)
+
+
+def clear(spark: SparkSession) -> None:
+    """Remove what written() has left in this session; results that still read it must have been written before."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(_session_dir(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def small_batches(spark: SparkSession, rows: int = BATCH_ROWS) -> None:
     """Lower the rows per Arrow batch, unless the session has a lower number already."""
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"

@@ -192,3 +192,15 @@ def test_registered(spark):
     names = entry.queries()
     assert {n.split("_")[0] for n in names if n.startswith("op")} >= {f"op{k}" for k in range(1, 11)} and "pipeline" in names
     assert set(queries.ORACLE) <= set(entry.oracle_sql())
+
+
+def test_intermediate_tables_can_be_cleared(spark):
+    import os
+
+    from paperloom.llm import shared
+
+    held = shared.written(spark.range(3).toDF("n"), "three")
+    assert held.count() == 3 and os.path.isdir(shared._session_dir(spark))
+    shared.clear(spark)
+    assert not os.path.exists(shared._session_dir(spark))
+    shared.clear(spark)
