@@ -25,7 +25,7 @@ def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share: spark.checkpoint.dir, or a new one where it is unset."""
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not base:
-        if not spark.sparkContext.master.startswith("local["):
+        if spark.sparkContext.master != "local" and not spark.sparkContext.master.startswith("local["):
             raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
         base = tempfile.mkdtemp(prefix="paperloom-")
         spark.conf.set("spark.checkpoint.dir", base)
