@@ -1,14 +1,13 @@
 """Best-fit packing of tokenised documents into sequences, by hierarchical residual packing.
 
 Every partition tokenises its documents, cuts those longer than a sequence into full
-pieces and a rest, and packs the pieces best-fit, the longest first. Nearly full bins are
-final. The underfull ones are taken apart into bins of one piece, or of what an earlier
-round put together, and go up a tree: those of FAN_IN neighbouring nodes meet, count as
-items, are packed best-fit again, and the nearly full bins are final; at the root all are.
-Only numbers of bins travel, never texts or ids.
-
-A node hands on at most CARRIED items; beyond these its fullest bins are final as they are,
-so a task's memory is bounded and no document is left out.
+pieces and a rest, and packs windows of pieces best-fit, the longest first. Nearly full
+bins are final. The pieces of all others are open, however many they are, and meet those of
+all partitions: as a piece is but a length to a bin, only the number of open pieces by
+length goes up, summed on the way, and the root packs at most `capacity` such numbers
+best-fit. Its plan, runs of equal lengths that go to runs of bins, is then read off for
+every open piece by its rank among those of its length. So memory is bounded by the
+number of lengths, and no open piece is kept from another.
 
 Defined results: a null or empty text is the closing id alone; repeated ids are packed row
 by row; an empty table gives no rows; other columns are not read.
@@ -22,16 +21,17 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .shared import small_batches, written
+from .shared import appended, small_batches, written
 from .tokens import Encoder
 
 SEQUENCE, CLOSING_ID = 2048, 0
 #: A bin with at most this part of a sequence free is nearly full.
 NEARLY = 1 / 128
-FAN_IN, CARRIED = 8, 4096
+#: Rows that a task hands on at once.
+CARRIED = 4096
 #: Pieces that are packed at once in a partition.
 WINDOW = 1 << 16
 
@@ -61,44 +61,67 @@ def best_fit(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray
     return where, offset, np.array(fills, np.int64)
 
 
-def _settled(lengths: np.ndarray, capacity: int, all_final: bool = False) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(bin, offset, fill, final) of every item after a round: bins that are not nearly full are taken apart again.
+def best_fit_counts(counts: dict[int, int], capacity: int) -> np.ndarray:
+    """best_fit over numbers of items by length: rows (length, from rank, to rank, first bin, items to a bin, offset).
 
-    At most CARRIED items stay open; beyond these, the fullest bins are final as they are.
+    Items of a length from one rank to before another go to consecutive bins, so many to
+    each one after the other. Bins that are alike are one entry, so work and memory go by lengths.
     """
-    where, offset, fills = best_fit(lengths, capacity)
-    final = np.ones(len(fills), bool) if all_final else fills >= capacity * (1 - NEARLY)
-    items = np.bincount(where, minlength=len(fills))
-    open_bins = np.flatnonzero(~final)
-    emptiest = open_bins[np.argsort(fills[open_bins], kind="stable")]
-    final[emptiest[np.cumsum(items[emptiest]) > CARRIED]] = True
-    done = final[where]
-    alone = len(fills) + np.arange(len(lengths))
-    return np.where(done, where, alone), np.where(done, offset, 0), np.where(done, fills[where], lengths), done
+    by_room: list[list[tuple[int, int]]] = [[] for _ in range(capacity + 1)]  # (first bin, bins)
+    rooms, made, plan = 0, 0, []
+    for size in sorted(counts, reverse=True):
+        rank, left = 0, counts[size]
+        while left:
+            fitting = rooms >> size
+            if fitting:
+                room = size + (fitting & -fitting).bit_length() - 1
+                first, bins = by_room[room].pop()
+            else:
+                room, first, bins = capacity, made, -(-left // (capacity // size))
+                made += bins
+            # a bin that has got an item is the fullest that has room, until no more fit
+            each = min(room // size, left)
+            used = min(bins, left // each)
+            plan.append((size, rank, rank + used * each, first, each, capacity - room))
+            rank, left = rank + used * each, left - used * each
+            for rest, at, n in ((room - each * size, first, used), (room, first + used, bins - used)):
+                if rest and n:
+                    by_room[rest].append((at, n))
+            for changed in (room, room - each * size):
+                rooms = rooms | 1 << changed if by_room[changed] else rooms & ~(1 << changed)
+    return np.array(plan, np.int64).reshape(-1, 6)
 
 
 def _pieces(documents: DataFrame, spec: str, capacity: int, closing: int, with_ids: bool) -> DataFrame:
-    """Every piece with its bin within the partition, and whether the bin is final."""
+    """Every piece; its bin and offset within the partition if the bin is final, else its rank among the partition's open pieces of its length."""
     shared = documents.sparkSession.sparkContext.broadcast(spec)
-    schema = "doc_id long, piece int, start long, length long, ids_crc32 long, bin long, offset long, fill long, node long, final boolean"
+    schema = "doc_id long, piece int, start long, length long, ids_crc32 long, bin long, offset long, node long, rank long"
     end = np.array([closing], "<u4").tobytes()
 
     def run(batches) -> Iterator[pa.RecordBatch]:
         encoder, node, made = Encoder(shared.value), TaskContext.get().partitionId(), 0
         rows: list[tuple] = []
         ids: list[bytes] = []
+        opened = np.zeros(capacity + 1, np.int64)
 
-        def packed() -> pa.RecordBatch:
+        def packed() -> Iterator[pa.RecordBatch]:
             nonlocal made, rows, ids
             lengths = np.array([r[3] for r in rows], np.int64)
-            where, offset, fill, final = _settled(lengths, capacity)
+            where, offset, fills = best_fit(lengths, capacity)
+            open_ = fills[where] < capacity * (1 - NEARLY)
+            rank = np.full(len(rows), -1, np.int64)
+            order = np.flatnonzero(open_)[np.argsort(lengths[open_], kind="stable")]
+            sizes, first, count = np.unique(lengths[order], return_index=True, return_counts=True)
+            rank[order] = np.arange(len(order)) + np.repeat(opened[sizes] - first, count)
+            opened[sizes] += count
             columns = [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()), strict=True)]
-            columns += [pa.array(x) for x in ((node << 36) + made + where, offset, fill, np.full(len(rows), node, np.int64), final)]
+            columns += [pa.array(x, mask=m) for x, m in (((node << 36) + made + where, open_), (offset, open_), (np.full(len(rows), node, np.int64), None), (rank, ~open_))]
             if with_ids:
                 columns.append(pa.array([np.frombuffer(x, "<u4").astype(np.int32) for x in ids], pa.list_(pa.int32())))
-            made += 2 * len(rows)
+            made += len(fills)
             rows, ids = [], []
-            return pa.RecordBatch.from_arrays(columns, names=[c.split()[0] for c in schema.split(", ")] + ["ids"] * with_ids)
+            batch = pa.RecordBatch.from_arrays(columns, names=[c.split()[0] for c in schema.split(", ")] + ["ids"] * with_ids)
+            yield from (batch.slice(at, CARRIED) for at in range(0, batch.num_rows, CARRIED))
 
         for batch in batches:
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
@@ -109,35 +132,30 @@ def _pieces(documents: DataFrame, spec: str, capacity: int, closing: int, with_i
                     if with_ids:
                         ids.append(part)
             if len(rows) >= WINDOW:
-                yield packed()
+                yield from packed()
         if rows:
-            yield packed()
+            yield from packed()
 
     return documents.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, schema + ", ids array<int>" * with_ids)
 
 
-def _merged(bins: DataFrame, capacity: int, root: bool) -> DataFrame:
-    """(bin, into, at, fill, node, final): one round of best fit over the bins that meet in each node."""
+def _planned(pieces: DataFrame, plan: np.ndarray, first_bin: int) -> DataFrame:
+    """Open pieces(..., length, rank) with the bin and the offset that the plan has for them."""
+    order = np.lexsort((plan[:, 1], plan[:, 0]))
+    shared = pieces.sparkSession.sparkContext.broadcast(plan[order])
+    kept = [c for c in pieces.columns if c != "rank"]
 
     def run(batches) -> Iterator[pa.RecordBatch]:
-        tables = [b for b in batches if b.num_rows]
-        if not tables:
-            return
-        table = pa.Table.from_batches(tables)
-        number, fill, node = (table.column(k).to_numpy() for k in range(3))
-        for one in np.unique(node):
-            mine = np.flatnonzero(node == one)
-            mine = mine[np.lexsort((number[mine], fill[mine]))]
-            where, at, filled, final = _settled(fill[mine], capacity, root)
-            # a bin has the number of the item that it begins with
-            _, bins = np.unique(where, return_inverse=True)
-            first = np.zeros(bins.max() + 1, np.int64)
-            first[bins[at == 0]] = number[mine][at == 0]
-            columns = (number[mine], first[bins], at, filled, np.full(len(mine), one, np.int64), final)
-            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["bin", "into", "at", "fill", "node", "final"])
-
-    # a node has at most FAN_IN * CARRIED bins of three numbers
-    return bins.select("bin", "fill", "node").repartition("node").mapInArrow(run, "bin long, into long, at long, fill long, node long, final boolean")
+        plan = shared.value
+        starts = (plan[:, 0] << 48) + plan[:, 1]
+        for batch in batches:
+            length, rank = (batch.column(batch.schema.get_field_index(c)).to_numpy() for c in ("length", "rank"))
+            row = plan[np.searchsorted(starts, (length << 48) + rank, side="right") - 1]
+            at = rank - row[:, 1]
+            bins, offset = first_bin + row[:, 3] + at // row[:, 4], row[:, 5] + at % row[:, 4] * length
+            yield pa.RecordBatch.from_arrays([*(batch.column(batch.schema.get_field_index(c)) for c in kept), pa.array(bins), pa.array(offset)], names=[*kept, "sequence_id", "offset"])
+
+    return pieces.mapInArrow(run, appended(pieces.select(*kept).schema, "sequence_id long, offset long"))
 
 
 def pack_documents(documents: DataFrame, tokenizer_path: str, capacity: int = SEQUENCE, closing: int = CLOSING_ID, with_ids: bool = False) -> DataFrame:
@@ -149,21 +167,16 @@ def pack_documents(documents: DataFrame, tokenizer_path: str, capacity: int = SE
     with open(tokenizer_path, encoding="utf-8") as f:
         spec = f.read()
     pieces = written(_pieces(documents, spec, capacity, closing, with_ids), "pieces")
-    bins = pieces.where("not final and offset = 0").select("bin", "fill", "node")
-    nodes = bins.agg(F.max("node")).first()[0]
     out = ["doc_id", "piece", "start", "length", "ids_crc32", *(["ids"] if with_ids else [])]
-    if nodes is None:
-        return pieces.select(*out, F.col("bin").alias("sequence_id"), "offset")
-    places, nodes = bins.select("bin", F.col("bin").alias("now"), F.lit(0).cast("long").alias("at")), nodes + 1
-    while True:
-        root = nodes <= FAN_IN
-        nodes = -(-nodes // FAN_IN)
-        moved = written(_merged(bins.withColumn("node", F.floor(F.col("node") / FAN_IN).cast("long")), capacity, root), "merged")
-        step = moved.select(F.col("bin").alias("now"), "into", F.col("at").alias("more"))
-        places = places.join(step, "now", "left").select("bin", F.coalesce("into", "now").alias("now"), (F.col("at") + F.coalesce("more", F.lit(0))).alias("at"))
-        if root:
-            break
-        places = written(places, "places")
-        bins = moved.where("not final and at = 0").select(F.col("into").alias("bin"), "fill", "node")
-    placed = pieces.join(places.withColumnRenamed("at", "__at"), "bin", "left")
-    return placed.select(*out, F.coalesce("now", "bin").alias("sequence_id"), (F.col("offset") + F.coalesce("__at", F.lit(0))).alias("offset"))
+    closed = pieces.where("rank is null").select(*out, F.col("bin").alias("sequence_id"), "offset")
+    opened = pieces.where("rank is not null")
+    # one row for each length in a partition, then at most capacity rows
+    counts = written(opened.groupBy("length", "node").count(), "counts")
+    total = {r.length: r.n for r in counts.groupBy("length").agg(F.sum("count").alias("n")).collect()}
+    if not total:
+        return closed
+    before = Window.partitionBy("length").orderBy("node").rowsBetween(Window.unboundedPreceding, -1)
+    base = counts.select("length", "node", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("base"))
+    ranked = opened.join(base, ["length", "node"]).select(*out, (F.col("rank") + F.col("base")).alias("rank"))
+    first_bin = (pieces.agg(F.max("node")).first()[0] + 1) << 36
+    return closed.unionByName(_planned(ranked, best_fit_counts(total, capacity), first_bin))

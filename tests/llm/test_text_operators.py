@@ -221,6 +221,30 @@ def test_best_fit_and_carried_bins(spark, monkeypatch):
     assert len(rows) == 60 and len(packed_rows(rows)) == 60
 
 
+def test_all_underfull_bins_meet(spark):
+    # one partition has long texts only, the other short ones only, and each has far more bins than a window's share
+    texts = [(k, "a " * (1050 + k % 150)) for k in range(5500)] + [(k, "a " * (800 + k % 40)) for k in range(5500, 11_000)]
+    docs = spark.createDataFrame(spark.sparkContext.parallelize(texts, 2), "doc_id long, text string")
+    rows = packing.pack_documents(docs, public_tokenizers.path("word_bpe_49k.json")).collect()
+    assert len(rows) == 11_000 and len({r.doc_id for r in rows}) == 11_000 and len(packed_rows(rows)) == 5500
+
+
+def test_best_fit_by_counts_is_best_fit():
+    r = random.Random(7)
+    for capacity, n in [(1, 3), (10, 40), (100, 500), (2048, 3000)]:
+        lengths = [r.randint(1, capacity) if r.random() < 0.7 else max(1, capacity // 3) for _ in range(n)]
+        whole = collections.defaultdict(list)
+        for size, a, b, first, each, offset in packing.best_fit_counts(collections.Counter(lengths), capacity).tolist():
+            for k in range(b - a):
+                whole[first + k // each].append((offset + k % each * size, size))
+        assert sorted(size for parts in whole.values() for _, size in parts) == sorted(lengths)
+        for parts in whole.values():
+            parts.sort()
+            assert [at for at, _ in parts] == [0, *np.cumsum([size for _, size in parts])[:-1].tolist()] and sum(size for _, size in parts) <= capacity
+        fills = packing.best_fit(np.array(lengths), capacity)[2]
+        assert sorted(sum(size for _, size in parts) for parts in whole.values()) == sorted(fills.tolist())
+
+
 # Sharding
 
 
