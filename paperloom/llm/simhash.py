@@ -44,33 +44,39 @@ MARKS = 1 << 26
 _LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
 
 
-def fingerprint(text: bytes | None, words: int) -> int:
+def spans(text: bytes | None, words: int) -> tuple[bytes, list[tuple[int, int]]]:
+    """The words of a text in one line, and where its shingles begin and end."""
     parts = (text or b"").translate(_LOWER).split()
     if not parts:
-        return 0
+        return b"", []
     line = b" ".join(parts)
     ends = np.cumsum(np.fromiter(map(len, parts), np.int64, len(parts)) + 1) - 1
     if len(parts) <= words:
-        spans = [(0, len(line))]
-    else:
-        spans = zip([0, *(ends[: len(parts) - words] + 1).tolist()], ends[words - 1 :].tolist(), strict=True)
+        return line, [(0, len(line))]
+    return line, list(zip([0, *(ends[: len(parts) - words] + 1).tolist()], ends[words - 1 :].tolist(), strict=True))
+
+
+def fingerprint(text: bytes | None, words: int) -> int:
+    line, at = spans(text, words)
+    if not at:
+        return 0
     digest = xxhash.xxh64_intdigest
-    hashes = np.array([digest(line[a:b], SEED) for a, b in spans], np.uint64)
+    hashes = np.array([digest(line[a:b], SEED) for a, b in at], np.uint64)
     ones = np.zeros(BITS, np.int64)
     for at in range(0, len(hashes), 1 << 16):
         ones += np.unpackbits(hashes[at : at + (1 << 16)].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(0, dtype=np.int64)
     return int(np.packbits(ones * 2 > len(hashes), bitorder="little").view(np.uint64)[0])
 
 
-def with_fingerprints(documents: DataFrame, words: int, text: str = "text", into: str = "fingerprint") -> DataFrame:
-    """documents with the fingerprint as a signed long; the column replaces one of the same name."""
+def with_fingerprints(documents: DataFrame, words: int, text: str = "text", into: str = "fingerprint", of=fingerprint) -> DataFrame:
+    """documents with the fingerprint, or what else of(text, words) gives, as a signed long; the column replaces one of the same name."""
     small_batches(documents.sparkSession)
     kept = [c for c in documents.columns if c not in (into, "__text")]
     plain = documents.select(*[f"`{c}`" for c in kept], F.col(f"`{text}`").cast("binary").alias("__text"))
 
     def run(batches):
         for batch in batches:
-            prints = np.array([fingerprint(t, words) for t in batch.column(len(kept)).to_pylist()], np.uint64)
+            prints = np.array([of(t, words) for t in batch.column(len(kept)).to_pylist()], np.uint64)
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(prints.view(np.int64))], names=[*kept, into])
 
     return plain.mapInArrow(run, appended(plain.drop("__text").schema, f"`{into}` long"))
@@ -222,24 +228,36 @@ def simhash_digest(documents: DataFrame) -> DataFrame:
 
 
 def one_of_each(documents: DataFrame, words: int = 5, most: int = 6) -> DataFrame:
-    """One document of each group: the one with the smallest id, in the columns of documents; of repeated ids one row, and every row without an id.
+    """One document of each group that links within most bits make, in the columns of documents."""
+    found = written(near_duplicates(documents, words, most), "found")
+    return kept_rows(documents, found.select("doc_id", "fp"), found.select("fp", "component").distinct(), words, fingerprint)
+
+
+def kept_rows(documents: DataFrame, rows: DataFrame, classes: DataFrame, words: int, of) -> DataFrame:
+    """One row of each component of classes(fp, component), where rows(doc_id, fp) has all rows and of(text, words) is a row's fp.
+
+    It is the row with the smallest id, then the smallest fp; a row without an id stays
+    only where no other of its component has one. Rows go by id and fp together, so that
+    of rows with one id those with other texts are decided on their own.
 
-    Texts stay where they are, but for those whose id may be one to drop or a repeated one:
-    a bitmap of MARKS bits over hashes of such ids, at most MARKS / 8 bytes however many
-    there are, lets all others pass, and only the marked rows are joined with the ids.
+    Texts stay where they are, but for those whose id may be one to drop, a repeated one
+    or none: a bitmap of MARKS bits over hashes of such ids, at most MARKS / 8 bytes however
+    many there are, lets all others pass, and only the marked rows are joined with what stays.
     """
-    slim = near_duplicates(documents, words, most).where("doc_id is not null")
-    counts = written(slim.groupBy("doc_id").agg(F.count("*").alias("n"), F.min("component").alias("component")), "classes")
-    marked = counts.where("n > 1 or doc_id <> component")
+    best = rows.join(classes, "fp").groupBy("component").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "fp")).alias("best"))
+    stays = written(best.select("best.doc_id", "best.fp"), "stays")
+    counts = rows.where("doc_id is not null").groupBy("doc_id").count()
+    marked = counts.join(stays.select("doc_id", F.lit(True).alias("one")), "doc_id", "left").where("count > 1 or one is null")
     bitmaps = marked.select(F.bitmap_bucket_number(_mark("doc_id")).alias("__bucket"), F.bitmap_bit_position(_mark("doc_id")).alias("bit"))
     bitmaps = F.broadcast(written(bitmaps.groupBy("__bucket").agg(F.bitmap_construct_agg("bit").alias("__bits")), "bitmaps"))
     columns = [f"`{c}`" for c in documents.columns]
     seen = documents.select(*columns, F.bitmap_bucket_number(_mark("doc_id")).alias("__bucket"), F.bitmap_bit_position(_mark("doc_id")).alias("__bit")).join(bitmaps, "__bucket", "left")
     byte = F.conv(F.hex(F.substring(F.col("__bits"), (F.col("__bit") / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
-    unsure = F.coalesce(F.col("doc_id").isNotNull() & (F.getbit(byte, (F.col("__bit") % 8).cast("int")) == 1), F.lit(False))
-    gone = marked.where("doc_id <> component").select("doc_id")
-    checked = seen.where(unsure).join(gone, "doc_id", "left_anti").dropDuplicates(["doc_id"])
-    return seen.where(~unsure).select(*columns).unionByName(checked.select(*columns))
+    unsure = F.col("doc_id").isNull() | F.coalesce(F.getbit(byte, (F.col("__bit") % 8).cast("int")) == 1, F.lit(False))
+    tagged = with_fingerprints(seen.where(unsure).select("doc_id", "text", F.struct(*columns).alias("whole")), words, "text", "fp", of)
+    same = tagged["doc_id"].eqNullSafe(stays["doc_id"]) & (tagged["fp"] == stays["fp"])
+    checked = tagged.join(stays, same, "left_semi").dropDuplicates(["doc_id", "fp"])
+    return seen.where(~unsure).select(*columns).unionByName(checked.select("whole.*"))
 
 
 def _mark(column: str):

@@ -345,6 +345,57 @@ def test_components(spark):
     assert got == {k: 0 for k in range(300)} | {k: 1000 for k in range(1000, 1100)} | {2000: 2000}
 
 
+# Similar sets
+
+
+def plain_set(text, words=5):
+    parts = re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
+    return {tuple(parts[k : k + words]) for k in range(max(1, len(parts) - words + 1))}
+
+
+def edited(r, count):
+    """Texts of which many are near the limit: copies of some bases with a few words replaced, and a passage that most share."""
+    vocabulary, passage = [f"w{k}" for k in range(3000)], " ".join(f"p{k}" for k in range(30))
+    texts = ["", None, " ", "One", "one", "two words"]
+    for _ in range(count):
+        base = r.choices(vocabulary, k=r.choice([8, 60, 300]))
+        for _ in range(12):
+            copy = base[:]
+            for _ in range(r.randint(0, max(1, len(base) // 30))):
+                copy[r.randrange(len(copy))] = r.choice(vocabulary)
+            texts.append(" ".join(copy) + (" " + passage if r.random() < 0.6 else ""))
+    return texts
+
+
+def test_no_similar_pair_is_missed(spark, monkeypatch):
+    import corpus_pipeline as C
+
+    from paperloom.llm import alike
+
+    monkeypatch.setattr(alike, "SAMPLED", 2)
+    texts = edited(random.Random(11), 25)
+    sets = [plain_set(t) for t in texts]
+    label = list(range(len(texts)))
+    near = [[j for j in range(len(texts)) if 5 * len(sets[i] & sets[j]) >= 4 * len(sets[i] | sets[j])] for i in range(len(texts))]
+    while (new := [min(label[j] for j in near[i]) for i in range(len(texts))]) != label:
+        label = new
+    far = [(i, j) for i in range(len(texts)) for j in near[i] if (simhash.fingerprint((texts[i] or "").encode(), 5) ^ simhash.fingerprint((texts[j] or "").encode(), 5)).bit_count() > 6]
+    assert len(far) > 100
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(5)
+    kept = [r.doc_id for r in C.drop_near_duplicates(spark, docs, SF).collect()]
+    assert sorted(kept) == sorted(set(label))
+
+
+def test_rows_with_one_id_go_by_their_own_text(spark):
+    import corpus_pipeline as C
+
+    one, two, three = ("a b c d e f g", "h i j k l m n", "o p q r s t u")
+    rows = [(1, one), (2, one), (2, two), (2, two), (None, one), (None, three), (None, three), (3, "v w x y z")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    for kept in (C.drop_near_duplicates(spark, docs, SF), simhash.one_of_each(docs)):
+        assert sorted(((r.doc_id, r.text) for r in kept.collect()), key=str) == sorted([(1, one), (2, two), (3, "v w x y z"), (None, three)], key=str)
+
+
 # Odd tables
 
 
