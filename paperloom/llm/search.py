@@ -1,4 +1,4 @@
-"""Exact top-k search: BM25 over an inverted index in shards, with block-max WAND pruning.
+"""Exact top-k search: BM25 over an inverted index in shards, pruned block by block with bounds.
 
 A shard holds up to SHARD documents in an order that keeps languages together, cut into
 blocks of BLOCK documents. For a term the index has its postings and, when it is read, the
