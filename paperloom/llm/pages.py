@@ -8,8 +8,10 @@ container. Weights maximise the penalised likelihood of labelled pages
 from forward-backward sums; a page is decoded by Viterbi.
 
 Defined results: a null or empty page, or one without main text, gives an empty text; of a
-page that is cut off what stands is read; repeated rows are extracted one by one; an empty
-table gives an empty table; other columns are not read by the query.
+page that is cut off what stands is read; very long pages are read whole; where both states
+are as likely a block is boilerplate; repeated rows are extracted one by one; an empty table
+gives an empty table; other columns, whatever their names, are kept by the operator and not
+read by the query.
 """
 
 from __future__ import annotations
@@ -25,8 +27,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .dom import Block, blocks
-from .shared import appended, small_batches
+from .dom import Block, Place, blocks
+from .shared import appended, small_batches, unused
 
 #: Pages that the field is trained on; the bound of training.
 TRAINING_PAGES, SEED = 900, 5
@@ -37,16 +39,36 @@ _SIGN = re.compile(r"©|\bcopyright\b|all rights reserved|\bcookies?\b|\bsubscri
 # Features
 
 
+_INLINE = frozenset(("b", "i", "em", "strong", "span"))
+
+
+@lru_cache(maxsize=20_000)
+def _inside(around: tuple[frozenset, str], tag: str, words: tuple[str, ...]) -> tuple[frozenset, str]:
+    """The features that an element gives to all within it, with those of the elements around it, and the tag of its block."""
+    of, block = around
+    own = {f"word:{w}" for w in words} | ({f"in:{tag}"} if tag not in _INLINE and tag not in ("html", "body") else set())
+    return (of if own <= of else of | own, block if tag in _INLINE or tag == "a" else tag)
+
+
 @lru_cache(maxsize=20_000)
-def path_features(path: tuple[tuple[str, tuple[str, ...]], ...]) -> tuple[str, ...]:
-    tags = [t for t, _ in path]
-    out = {f"in:{t}" for t in tags if t not in ("html", "body", "b", "i", "em", "strong", "span")}
-    out |= {f"word:{w}" for _, words in path for w in words}
-    block = next((t for t in reversed(tags) if t not in ("b", "i", "em", "strong", "span", "a")), "none")
-    out.add(f"tag:{block}")
-    if not out & {"in:article", "in:main"}:
-        out.add("outside")
-    return tuple(sorted(out))
+def _named(inside: tuple[frozenset, str]) -> tuple[str, ...]:
+    of, block = inside
+    return tuple(sorted(of | {f"tag:{block}"} | (set() if of & {"in:article", "in:main"} else {"outside"})))
+
+
+_NOWHERE = (frozenset(), "none")
+
+
+def path_features(place: Place | None) -> tuple[str, ...]:
+    """Features of the open elements; each place keeps its own."""
+    chain = []
+    while place and place.held is None:
+        chain.append(place)
+        place = place.up
+    held = place.held if place else _NOWHERE
+    for p in reversed(chain):
+        held = p.held = _inside(held, p.tag, p.words)
+    return _named(held)
 
 
 def text_features(block: Block) -> tuple[str, ...]:
@@ -60,12 +82,13 @@ def text_features(block: Block) -> tuple[str, ...]:
 
 
 def features(page: list[Block]) -> list[tuple[str, ...]]:
-    return [path_features(b.path) + text_features(b) for b in page]
+    return [path_features(b.place) + text_features(b) for b in page]
 
 
 def ties(page: list[Block]) -> list[int]:
     """For each block but the first: 1 if it shares the container with the one before, else 0."""
-    return [int(a.path[:-1] == b.path[:-1]) for a, b in zip(page, page[1:], strict=False)]
+    around = [b.place and b.place.up for b in page]
+    return [int(a is b) for a, b in zip(around, around[1:], strict=False)]
 
 
 # Model
@@ -303,7 +326,7 @@ def labelled_pages(number: int = TRAINING_PAGES, seed: int = SEED) -> list[tuple
     for _ in range(number):
         found = list(blocks(writer.page()))
         states = [int(_MAIN in b.text) for b in found]
-        plain = [Block(b.text.replace(_MAIN, "").replace(_BOILER, ""), b.path, b.linked) for b in found]
+        plain = [Block(b.text.replace(_MAIN, "").replace(_BOILER, ""), b.place, b.linked) for b in found]
         out.append((plain, states))
     return out
 
@@ -321,14 +344,15 @@ def extract_text(pages: DataFrame, html: str = "html", into: str = "text", field
     small_batches(pages.sparkSession)
     field = field or trained_field()
     kept = [c for c in pages.columns if c not in (html, into)]
-    plain = pages.select(*[f"`{c}`" for c in kept], F.col(f"`{html}`").cast("string").alias("__html"))
+    (held,) = unused(kept, "html")
+    plain = pages.select(*[f"`{c}`" for c in kept], F.col(f"`{html}`").cast("string").alias(held))
 
     def run(batches) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = [field.extract(h) for h in batch.column(len(kept)).to_pylist()]
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(texts, pa.string())], names=[*kept, into])
 
-    return plain.mapInArrow(run, appended(plain.drop("__html").schema, f"`{into}` string"))
+    return plain.mapInArrow(run, appended(plain.drop(held).schema, f"`{into}` string"))
 
 
 def page_digest(pages: DataFrame) -> DataFrame:
