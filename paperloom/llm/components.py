@@ -11,12 +11,13 @@ from .shared import written
 MOST_ROUNDS = 60
 
 
-def connected_components(links: DataFrame) -> DataFrame:
+def connected_components(links: DataFrame, stored: bool = False) -> DataFrame:
     """(id, component) of every vertex of links(a, b); component is the smallest id that links reach.
 
     Every vertex points at the smallest vertex known to be in its component. In a round,
     each link moves to the roots of its ends, the greater root then points at the smallest
     root next to it, and these pointers are followed twice. A link whose ends have one root goes.
+    stored says that links are read from a table, so that they need not be written first.
     All steps are joins and partial aggregates on ids, so that a vertex with very many
     links is summed up where its links lie; each round is written to the shared folder.
 
@@ -24,7 +25,8 @@ def connected_components(links: DataFrame) -> DataFrame:
     end are ignored (the first kind keeps its vertex); without links there are no rows.
     """
     links = links.select(F.col("a").cast("long").alias("a"), F.col("b").cast("long").alias("b")).where("a is not null and b is not null")
-    links = written(links, "links")
+    if not stored:
+        links = written(links, "links")
     roots = written(links.select(F.explode(F.array("a", "b")).alias("id")).distinct().withColumn("root", F.col("id")), "roots")
     edges = links.where("a <> b").select(F.greatest("a", "b").alias("high"), F.least("a", "b").alias("low"))
     for _ in range(MOST_ROUNDS):

@@ -11,14 +11,20 @@ segments differ in at most l*t/m bits together. With m = t+1 segments a chain be
 an equal segment, so fingerprints meet in the bucket of that segment's value; the chain's
 other prefixes are tested there before the full distance is.
 
-A bucket may hold any share of all fingerprints. One of over BUCKET fingerprints is not
-compared as it is: since its fingerprints agree in a segment, all differing bits lie in
-the others, and the same argument on those parts it into smaller buckets, again and again,
-until it fits or so few bits are free that 2**free <= BUCKET. No pair is lost, and nothing is capped.
-A bucket gives a spanning forest of its links, not all pairs of a group.
+A bucket may hold any share of all fingerprints. One of over BUCKET fingerprints is first
+dealt at random into blocks of about that size, and the links within these are followed, for
+all segments together: what hangs together in the bucket, for the most part, then is one
+component, and only those outside of it (rest) have links left to find. Buckets that are not settled so are parted, at
+most PARTINGS times: since their fingerprints agree in a segment, all differing bits lie in
+the others, and the same argument on those makes smaller buckets. What is large after
+that is compared block by block, rest against all, each pair of blocks by itself. No pair that
+could connect two components is lost, and nothing is capped. A bucket gives a spanning forest
+of its links, not all pairs of a group.
 
 Defined results: null and empty texts have fingerprint zero and link like others; equal
-fingerprints link; of repeated ids the rows stay; an empty table gives an empty table.
+fingerprints link; very long texts are hashed whole; of repeated ids the rows stay; a null id
+is never a component's name while another is there, but its row links like others; an empty
+table gives an empty table; other columns, whatever their names, are not read by the query.
 """
 
 from __future__ import annotations
@@ -32,11 +38,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .components import connected_components
-from .shared import appended, small_batches, written
+from .shared import appended, small_batches, unused, written
 
 BITS, SEED = 64, 42
 #: The most fingerprints that are compared with one another in a bucket.
 BUCKET = 4096
+#: How often a bucket that is too large, and not one component, is parted.
+PARTINGS = 1
 #: Fingerprints compared at once with all that follow in their bucket.
 ROWS_AT_ONCE = 256
 #: Bits of the bitmap that tells documents which certainly stay: at most 8 MB to broadcast.
@@ -71,15 +79,16 @@ def fingerprint(text: bytes | None, words: int) -> int:
 def with_fingerprints(documents: DataFrame, words: int, text: str = "text", into: str = "fingerprint", of=fingerprint) -> DataFrame:
     """documents with the fingerprint, or what else of(text, words) gives, as a signed long; the column replaces one of the same name."""
     small_batches(documents.sparkSession)
-    kept = [c for c in documents.columns if c not in (into, "__text")]
-    plain = documents.select(*[f"`{c}`" for c in kept], F.col(f"`{text}`").cast("binary").alias("__text"))
+    kept = [c for c in documents.columns if c != into]
+    (held,) = unused(kept, "text")
+    plain = documents.select(*[f"`{c}`" for c in kept], F.col(f"`{text}`").cast("binary").alias(held))
 
     def run(batches):
         for batch in batches:
             prints = np.array([of(t, words) for t in batch.column(len(kept)).to_pylist()], np.uint64)
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(prints.view(np.int64))], names=[*kept, into])
 
-    return plain.mapInArrow(run, appended(plain.drop("__text").schema, f"`{into}` long"))
+    return plain.mapInArrow(run, appended(plain.drop(held).schema, f"`{into}` long"))
 
 
 def segments(free: int, parts: int) -> list[int]:
@@ -103,48 +112,60 @@ def _chained(difference: np.ndarray, ring: list[int], first: int, most: int) ->
     return left[np.bitwise_count(flat[left]) <= most]
 
 
-class _Forest:
-    """Union-find over a bucket."""
+class Forest:
+    """Components of n numbered things, and links that connect them."""
 
     def __init__(self, n: int) -> None:
-        self.up = list(range(n))
-
-    def root(self, k: int) -> int:
-        while self.up[k] != k:
-            self.up[k] = self.up[self.up[k]]
-            k = self.up[k]
-        return k
-
-    def join(self, a: int, b: int) -> bool:
-        a, b = self.root(a), self.root(b)
-        if a == b:
-            return False
-        self.up[max(a, b)] = min(a, b)
-        return True
-
-
-def bucket_links(prints: np.ndarray, ring: list[int], first: int, most: int) -> list[tuple[int, int]]:
-    """A spanning forest, as positions, of the links among a bucket's fingerprints."""
-    n, out = len(prints), []
-    forest = _Forest(n)
-    for at in range(0, n, ROWS_AT_ONCE):
-        block = prints[at : at + ROWS_AT_ONCE]
+        self.of, self.links = np.arange(n), []
+
+    def join(self, a: np.ndarray, b: np.ndarray) -> None:
+        """Take in links: of those between two components one is kept for each that goes into a lower one, until none is left."""
+        while True:
+            apart = self.of[a] != self.of[b]
+            a, b = a[apart], b[apart]
+            if not len(a):
+                return
+            high, low = np.maximum(self.of[a], self.of[b]), np.minimum(self.of[a], self.of[b])
+            order = np.lexsort((low, high))
+            order = order[np.concatenate([[True], np.diff(high[order]) > 0])]
+            self.links.append(np.stack([a[order], b[order]], 1))
+            up = np.arange(len(self.of))
+            up[high[order]] = low[order]
+            while not np.array_equal(further := up[up], up):
+                up = further
+            self.of = up[self.of]
+
+    def result(self) -> np.ndarray:
+        return np.concatenate([np.zeros((0, 2), np.int64), *self.links])
+
+
+def bucket_links(prints: np.ndarray, ring: list[int], first: int, most: int) -> np.ndarray:
+    """A spanning forest, as pairs of positions, of the links among a bucket's fingerprints."""
+    forest = Forest(len(prints))
+    for at in range(0, len(prints), ROWS_AT_ONCE):
         rest = prints[at:]
-        found = _chained(block[:, None] ^ rest[None, :], ring, first, most)
-        for i, j in zip((found // len(rest)).tolist(), (found % len(rest)).tolist(), strict=True):
-            if i < j and forest.join(at + i, at + j):
-                out.append((at + i, at + j))
-    return out
+        found = _chained(prints[at : at + ROWS_AT_ONCE, None] ^ rest[None, :], ring, first, most)
+        forest.join(at + found // len(rest), at + found % len(rest))
+    return forest.result()
 
 
-def _grouped(batches) -> Iterator[tuple[tuple, np.ndarray]]:
-    """Runs of equal keys from batches that are sorted by key; a run is at most a bucket."""
+def cross_links(rest: np.ndarray, others: np.ndarray, most: int) -> np.ndarray:
+    """A spanning forest, as positions in either, of the links between two blocks of fingerprints."""
+    forest = Forest(len(rest) + len(others))
+    for at in range(0, len(rest), ROWS_AT_ONCE):
+        rows, columns = np.nonzero(np.bitwise_count(rest[at : at + ROWS_AT_ONCE, None] ^ others[None, :]) <= most)
+        forest.join(at + rows, len(rest) + columns)
+    return forest.result() - [0, len(rest)]
+
+
+def _grouped(batches, width: int) -> Iterator[tuple[tuple, np.ndarray]]:
+    """Runs of equal keys, the first width columns, from batches that are sorted by key, with the fingerprints that follow; a run is at most a bucket."""
     held_key, held = None, []
     for batch in batches:
         if batch.num_rows == 0:
             continue
-        keys = [batch.column(k).to_numpy(zero_copy_only=False) for k in range(3)]
-        prints = batch.column(3).to_numpy().view(np.uint64)
+        keys = [batch.column(k).to_numpy(zero_copy_only=False) for k in range(width)]
+        prints = batch.column(width).to_numpy().view(np.uint64)
         change = np.flatnonzero(np.any([k[1:] != k[:-1] for k in keys], axis=0)) + 1
         for a, b in zip([0, *change.tolist()], [*change.tolist(), len(prints)], strict=True):
             key = tuple(int(k[a]) for k in keys)
@@ -157,52 +178,91 @@ def _grouped(batches) -> Iterator[tuple[tuple, np.ndarray]]:
         yield held_key, np.concatenate(held)
 
 
-def fingerprint_links(prints: DataFrame, most: int, bucket: int = BUCKET) -> DataFrame:
+def _linked(a: np.ndarray, b: np.ndarray, at: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(x[at[:, k]].view(np.int64)) for k, x in enumerate((a, b))], names=["a", "b"])
+
+
+def _within(dealt: DataFrame, keys: list[str], rings: dict[int, tuple[list[int], int]], most: int) -> DataFrame:
+    """Links among the fingerprints of each group of keys, of which path is the first: by chains from the segment that the path has equal."""
+
+    def run(batches):
+        for key, values in _grouped(batches, len(keys)):
+            values = np.unique(values)
+            ring, first = rings[key[0]]
+            yield _linked(values, values, bucket_links(values, ring, first, most))
+
+    return written(dealt.select(*keys, "fp").repartition(*keys).sortWithinPartitions(*keys).mapInArrow(run, "a long, b long"), "links")
+
+
+def _between(left: DataFrame, bucket: int, most: int) -> DataFrame:
+    """Links between the fingerprints of a bucket that are not in its main component (rest) and all others of it, block by block."""
+    sizes = left.groupBy("path", "value").agg(F.ceil(F.count("*") / bucket).alias("blocks"), F.ceil(F.sum(F.col("rest").cast("long")) / bucket).alias("rest_blocks"))
+    sized = left.join(sizes, ["path", "value"])
+    block = lambda n: F.pmod(F.xxhash64("fp"), F.col(n))
+    every = sized.select("path", "value", F.explode(F.sequence(F.lit(0).cast("long"), F.col("rest_blocks") - 1)).alias("i"), block("blocks").alias("j"), F.lit(1).alias("side"), "fp")
+    rest = sized.where("rest").select("path", "value", block("rest_blocks").alias("i"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("j"), F.lit(0).alias("side"), "fp")
+    keys = ["path", "value", "i", "j"]
+
+    def run(batches):
+        held_key, held = None, None
+        for (*key, side), values in _grouped(batches, 5):
+            if side == 0:
+                held_key, held = key, values
+            elif key == held_key:
+                yield _linked(held, values, cross_links(held, values, most))
+
+    dealt = rest.unionByName(every).repartition(*keys).sortWithinPartitions(*keys, "side")
+    return written(dealt.select(*keys, "side", "fp").mapInArrow(run, "a long, b long"), "links")
+
+
+def fingerprint_links(prints: DataFrame, most: int, bucket: int = BUCKET, partings: int = PARTINGS) -> DataFrame:
     """(a, b): links that connect the distinct fingerprints of prints(fp) as all pairs within most differing bits would."""
     spark = prints.sparkSession
     small_batches(spark, 10_000)
     parts = most + 1
-    #: masks that are equal in a bucket, by the bucket's path; -1 is all bits free
     rings: dict[int, tuple[list[int], int]] = {}
-    free_of, level = {0: (1 << BITS) - 1}, prints.select(F.lit(0).alias("path"), F.lit(0).cast("long").alias("value"), "fp")
-    found = None
-    while True:
-        # every path of this level is parted into one for each segment of its free bits
+    free_of = {0: (1 << BITS) - 1}
+    level, found = prints.select(F.lit(0).alias("up"), "fp", F.lit(True).alias("rest")), None
+    for depth in range(partings + 1):
+        # every path of this level is parted into one for each segment of its free bits; a row of the table for each
         choices, next_free = [], {}
         for path, free in free_of.items():
             ring = segments(free, parts)
             for k, mask in enumerate(ring):
                 child = path * (parts + 1) + k + 1
-                rings[child] = (ring, k)
-                next_free[child] = free & ~mask
+                rings[child], next_free[child] = (ring, k), free & ~mask
                 choices.append((path, child, _signed(((1 << BITS) - 1) & ~next_free[child])))
-        step = F.explode(F.filter(F.array(*[F.struct(F.lit(p).alias("from"), F.lit(c).alias("path"), F.lit(m).cast("long").alias("mask")) for p, c, m in choices]), lambda x: x["from"] == F.col("path")))
-        keyed = written(level.select("fp", step.alias("to")).select(F.col("to.path").alias("path"), F.col("fp").bitwiseAND(F.col("to.mask")).alias("value"), "fp"), "buckets")
-        sizes = keyed.groupBy("path", "value").count().where("count > 1")
-        exhausted = [c for c, free in next_free.items() if 2 ** bin(free).count("1") <= bucket]
-        fits = (F.col("count") <= bucket) | F.col("path").isin(exhausted)
-        sized = keyed.join(sizes.select("path", "value", fits.alias("fits")), ["path", "value"])
-        ready = sized.where("fits").select("path", "value", F.lit(0).alias("zero"), "fp")
-        held = dict(rings)
-
-        def run(batches, held=held):
-            for (path, _, _), values in _grouped(batches):
-                ring, first = held[path]
-                values = np.sort(values)
-                pairs = bucket_links(values, ring, first, most)
-                if pairs:
-                    at = np.array(pairs)
-                    yield pa.RecordBatch.from_arrays([pa.array(values[at[:, k]].view(np.int64)) for k in (0, 1)], names=["a", "b"])
-
-        links = ready.repartition("path", "value").sortWithinPartitions("path", "value").mapInArrow(run, "a long, b long")
-        links = written(links, "links")
+        table = F.broadcast(spark.sql("SELECT * FROM VALUES " + ", ".join(f"({p}, {c}, {m}L)" for p, c, m in choices) + " AS t(up, path, mask)"))
+        keyed = level.join(table, "up").select("path", F.col("fp").bitwiseAND(F.col("mask")).alias("value"), "fp", "rest")
+        sizes = keyed.groupBy("path", "value").agg(F.count("*").alias("n"), F.max("rest").alias("any")).where("n > 1 and any").drop("any")
+        sized = keyed.join(sizes, ["path", "value"])
+        links = _within(sized.where(F.col("n") <= bucket), ["path", "value"], rings, most)
         found = links if found is None else found.unionByName(links)
-        level = sized.where("not fits").select("path", "value", "fp")
-        if level.isEmpty():
+        large = written(sized.where(F.col("n") > bucket), "large")
+        if large.isEmpty():
+            return found
+        # a hot bucket is dealt into blocks at random, each path in its own way: what hangs together for the most part becomes one component
+        blocks = large.withColumn("block", F.pmod(F.xxhash64("fp", "path"), F.ceil(F.col("n") * 1.1 / bucket)))
+        found = found.unionByName(_within(blocks, ["path", "value", "block"], rings, most))
+        left = _unsettled(large, found)
+        few = F.lit(True) if depth == partings else F.col("n_rest") <= bucket
+        found = found.unionByName(_between(left.where(few), bucket, most))
+        left = left.where(~few)
+        paths = {r.path for r in left.select("path").distinct().collect()}  # at most parts ** (depth + 1)
+        if not paths:
             return found
-        level = written(level, "large")
-        large = {r.path for r in level.select("path").distinct().collect()}  # at most one for each path of the level
-        free_of = {c: free for c, free in next_free.items() if c in large}
+        free_of = {c: free for c, free in next_free.items() if c in paths}
+        level = left.select(F.col("path").alias("up"), "fp", "rest")
+    return found
+
+
+def _unsettled(large: DataFrame, links: DataFrame) -> DataFrame:
+    """(path, value, fp, rest, n_rest) of the buckets that are not one component by now; rest: not in the bucket's largest one."""
+    classes = connected_components(links, stored=True)
+    named = large.select("path", "value", "fp").join(classes.withColumnRenamed("id", "fp"), "fp", "left").withColumn("component", F.coalesce("component", "fp"))
+    counts = named.groupBy("path", "value", "component").count()
+    main = counts.groupBy("path", "value").agg(F.max_by("component", F.struct("count", "component")).alias("main"), (F.sum("count") - F.max("count")).alias("n_rest")).where("n_rest > 0")
+    return written(named.join(main, ["path", "value"]).select("path", "value", "fp", (F.col("component") != F.col("main")).alias("rest"), "n_rest"), "left")
 
 
 def near_duplicates(documents: DataFrame, words: int = 5, most: int = 2, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -210,10 +270,10 @@ def near_duplicates(documents: DataFrame, words: int = 5, most: int = 2, key: st
     slim = with_fingerprints(documents.select(F.col(f"`{key}`").alias("key"), F.col(f"`{text}`").alias("text")), words, "text", "fp").select("key", "fp")
     slim = written(slim, "fingerprints")
     distinct = written(slim.groupBy("fp").agg(F.min("key").alias("first")), "distinct")
-    links = fingerprint_links(distinct.select("fp"), most)
-    ends = links.join(distinct.select(F.col("fp").alias("a"), F.col("first").alias("x")), "a").join(distinct.select(F.col("fp").alias("b"), F.col("first").alias("y")), "b")
-    classes = connected_components(ends.select(F.col("x").alias("a"), F.col("y").alias("b")))
-    named = distinct.join(classes.select(F.col("id").alias("first"), "component"), "first", "left").select("fp", F.coalesce("component", "first").alias("component"))
+    classes = connected_components(fingerprint_links(distinct.select("fp"), most), stored=True)
+    inside = distinct.join(classes.select(F.col("id").alias("fp"), F.col("component").alias("class")), "fp", "left").withColumn("class", F.coalesce("class", "fp"))
+    inside = written(inside, "inside")
+    named = inside.join(inside.groupBy("class").agg(F.min("first").alias("component")), "class").select("fp", "component")
     return slim.join(named, "fp", "left").select(F.col("key").alias(key), "fp", "component")
 
 
@@ -248,12 +308,14 @@ def kept_rows(documents: DataFrame, rows: DataFrame, classes: DataFrame, words:
     stays = written(best.select("best.doc_id", "best.fp"), "stays")
     counts = rows.where("doc_id is not null").groupBy("doc_id").count()
     marked = counts.join(stays.select("doc_id", F.lit(True).alias("one")), "doc_id", "left").where("count > 1 or one is null")
-    bitmaps = marked.select(F.bitmap_bucket_number(_mark("doc_id")).alias("__bucket"), F.bitmap_bit_position(_mark("doc_id")).alias("bit"))
-    bitmaps = F.broadcast(written(bitmaps.groupBy("__bucket").agg(F.bitmap_construct_agg("bit").alias("__bits")), "bitmaps"))
+    bitmaps = marked.select(F.bitmap_bucket_number(_mark("doc_id")).alias("bucket"), F.bitmap_bit_position(_mark("doc_id")).alias("bit"))
+    bitmaps = written(bitmaps.groupBy("bucket").agg(F.bitmap_construct_agg("bit").alias("bits")), "bitmaps")
     columns = [f"`{c}`" for c in documents.columns]
-    seen = documents.select(*columns, F.bitmap_bucket_number(_mark("doc_id")).alias("__bucket"), F.bitmap_bit_position(_mark("doc_id")).alias("__bit")).join(bitmaps, "__bucket", "left")
-    byte = F.conv(F.hex(F.substring(F.col("__bits"), (F.col("__bit") / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
-    unsure = F.col("doc_id").isNull() | F.coalesce(F.getbit(byte, (F.col("__bit") % 8).cast("int")) == 1, F.lit(False))
+    number, bit, bits = unused(documents.columns, "bucket", "bit", "bits")
+    bitmaps = bitmaps.toDF(number, bits)
+    seen = documents.select(*columns, F.bitmap_bucket_number(_mark("doc_id")).alias(number), F.bitmap_bit_position(_mark("doc_id")).alias(bit)).join(F.broadcast(bitmaps), number, "left")
+    byte = F.conv(F.hex(F.substring(F.col(bits), (F.col(bit) / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    unsure = F.col("doc_id").isNull() | F.coalesce(F.getbit(byte, (F.col(bit) % 8).cast("int")) == 1, F.lit(False))
     tagged = with_fingerprints(seen.where(unsure).select("doc_id", "text", F.struct(*columns).alias("whole")), words, "text", "fp", of)
     same = tagged["doc_id"].eqNullSafe(stays["doc_id"]) & (tagged["fp"] == stays["fp"])
     checked = tagged.join(stays, same, "left_semi").dropDuplicates(["doc_id", "fp"])
