@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .shared import appended, bytes_of, held_out, small_batches, training_sample
+from .shared import appended, bytes_of, held_out, small_batches, training_sample, unused
 
 WIDTH, STRIDE, DEPTH, FILTERS = 8, 4, 8, 32
 #: The most labelled texts of a class that the network is fitted on.
@@ -189,6 +189,11 @@ def quality_digest(documents: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def keep_good(documents: DataFrame, labels: DataFrame) -> DataFrame:
-    """documents that count as good, in their own columns."""
-    scored = score_quality(documents, fitted(documents, labels), into="__quality")
-    return scored.where(decision(F.col("__quality")) == 1).select(*[f"`{c}`" for c in documents.columns])
+    """documents that count as good, in their own columns, whatever these are named.
+
+    Null and empty texts are decided by their score like others, repeated rows each by
+    itself and alike, and very long texts by their whole; an empty table stays empty.
+    """
+    (score,) = unused(documents.columns, "score")
+    scored = score_quality(documents, fitted(documents, labels), into=score)
+    return scored.where(decision(F.col(score)) == 1).select(*[f"`{c}`" for c in documents.columns])

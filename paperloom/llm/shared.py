@@ -5,7 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from contextlib import contextmanager
 
 import numpy as np
@@ -105,6 +105,17 @@ def bytes_of(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return whole[ends[0] : ends[-1]], ends - ends[0]
 
 
+def unused(columns: Iterable[str], *names: str) -> list[str]:
+    """The names, each with as many underscores before it as make it none of the columns, whatever their case."""
+    taken = {c.lower() for c in columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name = "_" + name
+        out.append(name)
+    return out
+
+
 def appended(schema, columns: str):
     """The schema of some columns, then of others given as DDL."""
     from pyspark.sql.types import StructType

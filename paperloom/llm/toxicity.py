@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .shared import appended, held_out, small_batches, training_sample
+from .shared import appended, held_out, small_batches, training_sample, unused
 
 #: Words with which the lexicon begins, before anything is learnt.
 SEED_WORDS = ("idiot", "moron", "stupid", "loser", "scum", "trash", "clown", "pathetic", "worthless", "disgusting", "imbecile", "dumbass", "bastard", "retard", "scumbag", "asshole", "bitch")
@@ -54,8 +54,8 @@ _FOREIGN = re.compile("[" + re.escape("".join(sorted(set(LOOK_ALIKES)))) + "­
 _WIDE = re.compile("[ﬀ-ﬆ！-～\U0001d400-\U0001d7ffⒶ-ⓩ]")
 _UNSEEN = re.compile("[­​-‍⁠]")
 _SIGN = re.compile("[" + re.escape(SIGNS) + "]")
-#: A run of word characters and signs that holds a sign.
-_MIXED = re.compile(r"[^\W" + "".join(c for c in SIGNS if c.isdigit()) + r"]*+[" + re.escape(SIGNS) + r"][\w" + re.escape(SIGNS) + r"]*+")
+#: A whole run of word characters and signs that holds a sign; it is looked for at the run's beginning alone.
+_MIXED = re.compile(r"(?<![\w" + re.escape(SIGNS) + r"])[^\W" + "".join(c for c in SIGNS if c.isdigit()) + r"]*+[" + re.escape(SIGNS) + r"][\w" + re.escape(SIGNS) + r"]*+")
 _WORD = re.compile(r"[^\W\d_]+")
 
 
@@ -114,9 +114,12 @@ def hits(folded: str, automaton: ahocorasick.Automaton) -> Iterator[tuple[int, i
         if kind != "stem" and end + 1 < size and folded[end + 1].isalpha():
             continue
         (safe if kind == "exception" else spans).append((start, end + 1, weight))
-    last = -1
+    safe.sort()
+    last, reach, k = -1, 0, 0  # reach: the furthest end of the exceptions that begin so far
     for start, end, weight in sorted(spans, key=lambda s: (s[0], -s[2], -s[1])):
-        if start != last and not any(a <= start and end <= b for a, b, _ in safe):
+        while k < len(safe) and safe[k][0] <= start:
+            reach, k = max(reach, safe[k][1]), k + 1
+        if start != last and end > reach:
             yield start, end, weight
             last = start
 
@@ -259,6 +262,11 @@ def toxicity_digest(documents: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def drop_toxic(documents: DataFrame, labels: DataFrame) -> DataFrame:
-    """documents without the toxic ones, in their own columns."""
-    scored = score_toxicity(documents, fitted(documents, labels), into=("__toxicity", "__toxic_hits"))
-    return scored.where(decision(F.col("__toxicity")) == 0).select(*[f"`{c}`" for c in documents.columns])
+    """documents without the toxic ones, in their own columns, whatever these are named.
+
+    Null and empty texts stay, repeated rows are decided each by itself and alike, and very
+    long texts by their whole; an empty table stays empty.
+    """
+    score, number = unused(documents.columns, "score", "hits")
+    scored = score_toxicity(documents, fitted(documents, labels), into=(score, number))
+    return scored.where(decision(F.col(score)) == 0).select(*[f"`{c}`" for c in documents.columns])
