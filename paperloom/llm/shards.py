@@ -1,24 +1,33 @@
 """Sharding by a k-d tree over documents' metadata, with DataFrame operations only.
 
-A document is a point: the logarithm of its size, the share of single-byte characters and
-a digest of its text. A node that stands for n leaves is cut, along the axis on which its
-points spread the most, at the weighted quantile that gives its left child as many bytes
-as its leaves ask for, until every leaf holds the target bytes. A cut is found by
-histograms of the sort key (coordinate, text digest, row digest), refined around the
-quantile; every pass is a partial aggregation over all rows, and the driver sees one row
-for each node. Along every axis equal texts stand together, and a cut does not part them
-unless their group alone outweighs KEEP of a leaf: such a hot group is cut by row digest.
+A document is a point: the logarithm of its characters, its source and its language, these
+two as places on a line that a digest gives them. Equal texts are one point, with the least
+source and language of the group, and one weight. A node that stands for some shards is cut,
+along the axis on which its points spread the most (the first of equal ones), at the weighted
+quantile that gives its left child as many bytes as its shards have room for, until every
+leaf is a shard. Points that are equal along the axis are ordered by the text's digest, then
+by the row's. A cut is found by histograms of that key, refined around the quantile; every
+pass is a partial aggregation over all rows, and the driver sees one row for each node.
+
+Groups. What weighs over KEEP of a shard would make cuts uneven. So each such text, one long
+document or all copies of one, is a heavy point that goes to a shard before the tree grows, the
+heaviest first, to the shard with the most room; there are at most shards / KEEP of them. The tree
+then fills the room that is left, as even as can be. Only a group of copies that alone outweighs a
+shard is parted: it stays in the tree and is cut by row digest.
 
 The law is `bytes`: the shards' sizes are near equal. Slots are numbered within salted
 groups of a shard and shifted by the groups before, so no task sees a whole shard.
 
-Defined results: a null text counts no bytes and has the checksum of an empty one;
-repeated rows are put one by one; with fewer rows than shards some shards stay empty; an
-empty table gives no rows; other columns are not read.
+Defined results: a null text counts no bytes, has the checksum of an empty one, and all null
+texts are one group; repeated rows are put one by one, and rows of one id and one text always
+stay together; rows without an id are told apart by their place in the table; very long texts
+are heavy points; with fewer rows than shards some shards stay empty; an empty table gives no
+rows; source and lang may be null or absent, and other columns are not read.
 """
 
 from __future__ import annotations
 
+import heapq
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, Window
@@ -31,23 +40,23 @@ ROW_BYTES = 16
 AXIS_BITS, GROUP_BITS, ROW_BITS = 20, 20, 22
 STEPS = (10, 10, 10, 10, 11, 11)
 GROUP_STEPS = 4
-#: A histogram's cell of at most this part of a leaf is cut at its nearer edge.
+#: A histogram's cell of at most this part of a shard is cut at its nearer edge.
 CLOSE = 0.002
-#: Equal texts of at most this part of a leaf stay together.
-KEEP = 0.1
+#: What weighs more than this part of a shard is a heavy point.
+KEEP = 0.02
 #: Rows that share a salted group of slots, about.
 SLOT_ROWS = 2048
-AXES = ("size_axis", "script_axis", "digest_axis")
+AXES = ("chars_axis", "source_axis", "lang_axis")
 
 
 @dataclass
 class Node:
-    """leaves: how many shards; first: the first of them; a cut node has an axis, a key and two children."""
+    """room: the bytes that each of its shards, from the first on, has room for; a cut node has an axis, a key and two children."""
 
     number: int
     first: int
-    leaves: int
-    axis: int = len(AXES) - 1
+    room: list[float]
+    axis: int = 0
     cut: int | None = None
     children: list[Node] = field(default_factory=list)
     want: float = 0.0
@@ -63,7 +72,7 @@ def _key(axis: str) -> Column:
 
 
 def _table(points: DataFrame, columns: str, rows: list[tuple]) -> DataFrame:
-    """A table of the driver's numbers about nodes; it has at most a row for each shard."""
+    """A table of the driver's numbers about nodes or heavy points; it has at most a row for each."""
     values = ", ".join(f"({', '.join(map(str, r))})" for r in rows)
     return F.broadcast(points.sparkSession.sql(f"SELECT * FROM VALUES {values} AS t({columns})"))
 
@@ -76,49 +85,98 @@ def _chosen() -> Column:
     return out
 
 
+def _place(documents: DataFrame, column: str) -> Column:
+    """Where a value stands on its axis; a null, or a column that is not there, is at its beginning."""
+    if column not in documents.columns:
+        return F.lit(0)
+    value = F.col(f"`{column}`").cast("string")
+    return F.when(value.isNull(), 0).otherwise(F.shiftrightunsigned(F.xxhash64(value), 64 - AXIS_BITS).cast("int"))
+
+
 def _points(documents: DataFrame) -> DataFrame:
+    """A row for each document, without its text; spread is for balance only."""
     text = F.col("text")
     size = F.coalesce(F.octet_length(text), F.lit(0)).cast("long")
-    digest = F.xxhash64(text)
+    chars = F.log2(F.coalesce(F.length(text), F.lit(0)).cast("double") + 1)
     top = (1 << AXIS_BITS) - 1
-    share = F.coalesce(F.length(text) / F.nullif(F.octet_length(text), F.lit(0)), F.lit(1.0))
-    group, row = F.shiftrightunsigned(digest, 24).bitwiseAND((1 << GROUP_BITS) - 1), F.xxhash64("doc_id").bitwiseAND((1 << ROW_BITS) - 1)
-    return documents.select(
-        F.col("doc_id").cast("long").alias("doc_id"), (size + ROW_BYTES).alias("size"), F.coalesce(F.crc32(text.cast("binary")), F.lit(0).cast("long")).alias("text_crc32"),
-        F.least(F.lit(top), F.floor(F.log2((size + ROW_BYTES).cast("double")) / 32 * top)).cast("int").alias("size_axis"), F.floor(share * top).cast("int").alias("script_axis"),
-        F.shiftrightunsigned(digest, 64 - AXIS_BITS).cast("int").alias("digest_axis"), (F.shiftleft(group, ROW_BITS) + row).alias("tail"),
+    rows = documents.select(
+        F.col("doc_id").cast("long").alias("doc_id"), (size + ROW_BYTES).alias("size"), F.coalesce(F.crc32(text.cast("binary")), F.lit(0).cast("long")).alias("text_crc32"), F.xxhash64(text).alias("digest"),
+        F.least(F.lit(top), F.floor(chars / 32 * top)).cast("int").alias(AXES[0]), _place(documents, "source").alias(AXES[1]), _place(documents, "lang").alias(AXES[2]),
+        F.xxhash64(F.monotonically_increasing_id()).alias("spread"),
     )
-
-
-def _grow(points: DataFrame, shards: int) -> tuple[DataFrame, Node]:
+    row = F.when(F.col("doc_id").isNull(), F.col("spread")).otherwise(F.xxhash64("doc_id")).bitwiseAND((1 << ROW_BITS) - 1)
+    group = F.shiftrightunsigned("digest", 64 - GROUP_BITS)
+    return written(rows.withColumn("tail", F.shiftleft(group, ROW_BITS) + row), "points")
+
+
+def _groups(points: DataFrame) -> DataFrame:
+    """A row for each text: its rows and bytes, and the source and language that all its rows take where they differ."""
+    ends = [f(a).alias(f"{n}_{a}") for a in AXES[1:] for n, f in (("low", F.min), ("high", F.max))]
+    return written(points.groupBy("digest").agg(F.count("*").alias("n"), F.sum("size").alias("bytes"), *ends), "groups")
+
+
+def _settled(points: DataFrame, groups: DataFrame, heavy: list[tuple[int, int]]) -> DataFrame:
+    """points with one place for each text, and the shard of the heavy ones."""
+    differ = groups.where(" or ".join(f"low_{a} <> high_{a}" for a in AXES[1:])).select("digest", *[f"low_{a}" for a in AXES[1:]])
+    one = points.join(differ, "digest", "left").withColumns({a: F.coalesce(f"low_{a}", a) for a in AXES[1:]}).drop(*[f"low_{a}" for a in AXES[1:]])
+    if not heavy:
+        return one.withColumn("shard", F.lit(None).cast("int"))
+    return one.join(_table(points, "digest, shard", [(f"{d}L", s) for d, s in heavy]), "digest", "left")
+
+
+def _heaviest_first(groups: DataFrame, total: int, shards: int, keep: float) -> tuple[list[tuple[int, int]], list[float]]:
+    """The shards of the heavy points, and the bytes that every shard has room for beside them."""
+    leaf = total / shards
+    found = groups.where((F.col("bytes") > keep * leaf) & ((F.col("n") == 1) | (F.col("bytes") <= leaf))).select("digest", "bytes").collect()  # at most shards / keep
+    fills = [(0, s) for s in range(shards)]
+    placed = []
+    for r in sorted(found, key=lambda r: (-r.bytes, r.digest)):
+        fill, s = heapq.heappop(fills)
+        placed.append((r.digest, s))
+        heapq.heappush(fills, (fill + r.bytes, s))
+    # the level up to which the other bytes fill the shards
+    left, level = total - sum(r.bytes for r in found), 0.0
+    for k, (fill, _) in enumerate(sorted(fills), 1):
+        if k > 1 and fill >= level:
+            break
+        left += fill
+        level = left / k
+    room = [0.0] * shards
+    for fill, s in fills:
+        room[s] = max(0.0, level - fill)
+    return placed, room
+
+
+def _grow(points: DataFrame, room: list[float], leaf: float, close: float) -> tuple[DataFrame, Node]:
     """points with the number of the leaf that each is in, and the k-d tree. A level reads them for the spread and for each refinement."""
-    root, made = Node(0, 0, shards), 1
+    root, made, widths = Node(0, 0, room), 1, {}
     points = points.withColumn("node", F.lit(0))
-    total, widths = None, {}
-    while cutting := [n for n in root.open() if n.leaves > 1]:
+    while cutting := [n for n in root.open() if len(n.room) > 1]:
         spread = points.groupBy("node").agg(F.sum("size").alias("bytes"), *[F.min(a).alias(f"low_{a}") for a in AXES], *[F.max(a).alias(f"high_{a}") for a in AXES]).collect()
         seen = {r.node: r for r in spread}
-        if total is None:
+        if not widths:
             if not seen:
                 return points, root
-            total, widths = seen[0].bytes, {a: max(1, seen[0][f"high_{a}"] - seen[0][f"low_{a}"]) for a in AXES}
+            widths = {a: max(1, seen[0][f"high_{a}"] - seen[0][f"low_{a}"]) for a in AXES}
         for n in cutting:
-            n.children = [Node(made, n.first, n.leaves // 2), Node(made + 1, n.first + n.leaves // 2, n.leaves - n.leaves // 2)]
+            half = len(n.room) // 2
+            n.children = [Node(made, n.first, n.room[:half]), Node(made + 1, n.first + half, n.room[half:])]
             made += 2
             if n.number not in seen:  # no rows: any cut will do
                 n.cut = 0
                 continue
             r = seen[n.number]
-            n.axis = max(range(len(AXES)), key=lambda k: ((r[f"high_{AXES[k]}"] - r[f"low_{AXES[k]}"]) / widths[AXES[k]], k))
-            n.want = r.bytes * (n.leaves // 2) / n.leaves
-        _refine(points, [n for n in cutting if n.cut is None], total / shards)
+            n.axis = max(range(len(AXES)), key=lambda k: ((r[f"high_{AXES[k]}"] - r[f"low_{AXES[k]}"]) / widths[AXES[k]], -k))
+            all_room = sum(n.room)
+            n.want = r.bytes * min(1.0, sum(n.room[:half]) / all_room if all_room else half / len(n.room))
+        _refine(points, [n for n in cutting if n.cut is None], leaf, close)
         cuts = _table(points, "node, axis, cut, lower, upper", [(n.number, n.axis, f"{n.cut}L", *(c.number for c in n.children)) for n in cutting])
         child = F.when(F.col("cut").isNull(), F.col("node")).when(_chosen() < F.col("cut"), F.col("lower")).otherwise(F.col("upper"))
         points = written(points.join(cuts, "node", "left").withColumn("node", child).drop("axis", "cut", "lower", "upper"), "points")
     return points, root
 
 
-def _refine(points: DataFrame, nodes: list[Node], leaf: float) -> None:
+def _refine(points: DataFrame, nodes: list[Node], leaf: float, close: float) -> None:
     left = AXIS_BITS + GROUP_BITS + ROW_BITS
     for step, bits in enumerate(STEPS, 1):
         if not nodes:
@@ -136,22 +194,30 @@ def _refine(points: DataFrame, nodes: list[Node], leaf: float) -> None:
             at = found[n.number]
             n.before += at.upto - at.bytes
             n.prefix = at.cell
-            if at.bytes <= CLOSE * leaf or step == len(STEPS) or step == GROUP_STEPS and at.bytes <= KEEP * leaf:
+            # a group goes whole to its nearer side, unless it outweighs a shard
+            if at.bytes <= close * leaf or step == len(STEPS) or step == GROUP_STEPS and at.bytes <= leaf:
                 n.cut = (at.cell + (n.want - n.before > at.bytes / 2)) << left
             else:
                 going.append(n)
         nodes = going
 
 
-def shard_documents(documents: DataFrame, shards: int = 40) -> DataFrame:
+def shard_documents(documents: DataFrame, shards: int = 40, keep: float = KEEP, close: float = CLOSE) -> DataFrame:
     """(doc_id, size, text_crc32, law, shard, slot, grown_shard) of every document."""
-    points, tree = _grow(written(_points(documents), "points"), shards)
+    points = _points(documents)
+    groups = _groups(points)
+    sums = groups.agg(F.sum("bytes").alias("bytes"), F.sum("n").alias("n")).first()
+    total, rows = sums.bytes or 0, sums.n or 0
+    heavy, room = _heaviest_first(groups, total, shards, keep)
+    points = written(_settled(points, groups, heavy), "settled")
+    light, tree = _grow(points.where("shard is null").drop("shard"), room, total / shards, close)
     leaves = _table(points, "node, shard", [(n.number, n.first) for n in tree.open()])
-    rows = points.join(leaves, "node").select("doc_id", "size", "text_crc32", "shard")
-    salts = max(1, -(-points.count() // (shards * SLOT_ROWS)))
-    salted = rows.withColumn("salt", F.pmod(F.xxhash64("doc_id", "text_crc32"), F.lit(salts)))
+    columns = ["doc_id", "size", "text_crc32", "shard", "spread"]
+    placed = light.join(leaves, "node").select(*columns).unionByName(points.where("shard is not null").select(*columns))
+    salts = max(1, -(-rows // (shards * SLOT_ROWS)))
+    salted = placed.withColumn("salt", F.pmod("spread", F.lit(salts)))
     counts = salted.groupBy("shard", "salt").count()
     before = counts.select("shard", "salt", F.coalesce(F.sum("count").over(Window.partitionBy("shard").orderBy("salt").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("before"))
-    placed = salted.withColumn("place", F.row_number().over(Window.partitionBy("shard", "salt").orderBy("doc_id", "text_crc32")) - 1)
-    out = placed.join(before, ["shard", "salt"])
+    numbered = salted.withColumn("place", F.row_number().over(Window.partitionBy("shard", "salt").orderBy("doc_id", "text_crc32", "spread")) - 1)
+    out = numbered.join(before, ["shard", "salt"])
     return out.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", (F.col("before") + F.col("place")).cast("long").alias("slot"), F.lit(None).cast("int").alias("grown_shard"))
