@@ -69,7 +69,11 @@ def fingerprint(text: bytes | None, words: int) -> int:
     if not at:
         return 0
     digest = xxhash.xxh64_intdigest
-    hashes = np.array([digest(line[a:b], SEED) for a, b in at], np.uint64)
+    return bit_majority(np.array([digest(line[a:b], SEED) for a, b in at], np.uint64))
+
+
+def bit_majority(hashes: np.ndarray) -> int:
+    """The bits that are set in over half of the hashes."""
     ones = np.zeros(BITS, np.int64)
     for at in range(0, len(hashes), 1 << 16):
         ones += np.unpackbits(hashes[at : at + (1 << 16)].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(0, dtype=np.int64)
@@ -304,7 +308,9 @@ def kept_rows(documents: DataFrame, rows: DataFrame, classes: DataFrame, words:
     or none: a bitmap of MARKS bits over hashes of such ids, at most MARKS / 8 bytes however
     many there are, lets all others pass, and only the marked rows are joined with what stays.
     """
-    best = rows.join(classes, "fp").groupBy("component").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "fp")).alias("best"))
+    # one row for each fp, so that copies, however many, don't meet in a task
+    first = rows.groupBy("fp").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id")).alias("first")).select("fp", "first.*")
+    best = first.join(classes, "fp").groupBy("component").agg(F.min(F.struct("none", "doc_id", "fp")).alias("best"))
     stays = written(best.select("best.doc_id", "best.fp"), "stays")
     counts = rows.where("doc_id is not null").groupBy("doc_id").count()
     marked = counts.join(stays.select("doc_id", F.lit(True).alias("one")), "doc_id", "left").where("count > 1 or one is null")

@@ -1,6 +1,7 @@
 """Embeddings, URL rules, page texts and the pipeline: rules, brute force and odd tables."""
 
 import random
+import re
 
 import duckdb
 import numpy as np
@@ -160,10 +161,15 @@ def test_main_text(spark):
 # Pipeline
 
 
+def shingle_set(text, words=5):
+    parts = re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
+    return {tuple(parts[k : k + words]) for k in range(max(1, len(parts) - words + 1))}
+
+
 def test_pipeline(spark):
     import corpus_pipeline as C
 
-    from paperloom.llm import packing, simhash
+    from paperloom.llm import packing
     from paperloom.llm.shared import written
 
     docs = spark.read.parquet(f"{SF}/documents.parquet")
@@ -175,8 +181,8 @@ def test_pipeline(spark):
     assert ids[0] > ids[1] >= ids[2]
     # near-duplicates by brute force over the rows that the stage read
     read = docs.where(F.col("doc_id").isin(list(ids[1]))).select("doc_id", "text").collect()
-    prints = np.array([simhash.fingerprint(r.text.encode(), C.SHINGLE_WORDS) for r in read], np.uint64)
-    near, order = np.bitwise_count(prints[:, None] ^ prints[None, :]) <= C.DIFFERING_BITS, np.array([r.doc_id for r in read])
+    sets = [shingle_set(r.text) for r in read]
+    near, order = np.array([[5 * len(a & b) >= 4 * len(a | b) for b in sets] for a in sets]), np.array([r.doc_id for r in read])
     label = order.copy()
     while (new := np.where(near, label[None, :], label.max() + 1).min(1)).tolist() != label.tolist():
         label = new

@@ -13,7 +13,7 @@ import xxhash
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from paperloom.llm import packing, pieces, quality, queries, search, shards, simhash, toxicity
+from paperloom.llm import alike, packing, pieces, quality, queries, search, shards, simhash, toxicity
 from paperloom.llm.components import connected_components
 
 SF = "/root/testdata/sf0.001"
@@ -367,12 +367,8 @@ def edited(r, count):
     return texts
 
 
-def test_no_similar_pair_is_missed(spark, monkeypatch):
-    import corpus_pipeline as C
-
-    from paperloom.llm import alike
-
-    monkeypatch.setattr(alike, "SAMPLED", 2)
+@pytest.mark.parametrize("sampled", [2, 16])
+def test_no_similar_pair_is_missed(spark, sampled):
     texts = edited(random.Random(11), 25)
     sets = [plain_set(t) for t in texts]
     label = list(range(len(texts)))
@@ -382,8 +378,30 @@ def test_no_similar_pair_is_missed(spark, monkeypatch):
     far = [(i, j) for i in range(len(texts)) for j in near[i] if (simhash.fingerprint((texts[i] or "").encode(), 5) ^ simhash.fingerprint((texts[j] or "").encode(), 5)).bit_count() > 6]
     assert len(far) > 100
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(5)
-    kept = [r.doc_id for r in C.drop_near_duplicates(spark, docs, SF).collect()]
-    assert sorted(kept) == sorted(set(label))
+    rows, classes = alike.near_duplicates(docs, 5, sampled=sampled)
+    found = collections.defaultdict(set)
+    for r in rows.join(classes, "fp").collect():
+        found[r.component].add(r.doc_id)
+    want = collections.defaultdict(set)
+    for k, c in enumerate(label):
+        want[c].add(k)
+    assert sorted(map(sorted, found.values())) == sorted(map(sorted, want.values()))
+    assert sorted(r.doc_id for r in alike.one_of_each(docs, 5).collect()) == sorted(set(label))
+
+
+def test_similar_sets_of_one_large_group(spark):
+    # every copy differs from every other, and all share nearly all hashes, which are then the frequent ones
+    r = random.Random(12)
+    base = [f"w{k}" for k in range(120)]
+    texts = []
+    for k in range(600):
+        copy = base[:]
+        copy[r.randrange(120)] = f"x{k}"
+        texts.append(" ".join(copy))
+    texts += [" ".join(base[:70] + [f"y{k}-{j}" for j in range(50)]) for k in range(40)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(6)
+    kept = sorted(x.doc_id for x in alike.one_of_each(docs, 5).collect())
+    assert kept == [0, *range(600, 640)]
 
 
 def test_rows_with_one_id_go_by_their_own_text(spark):
