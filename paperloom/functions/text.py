@@ -83,28 +83,62 @@ def fenced(text: Column) -> Column:
     return F.nullif(F.regexp_extract(text, r"(?s)```(?:json)?\s*\n?(.*?)\n?```", 1), F.lit(""))
 
 
-def balanced_object(text: Column) -> Column:
-    """The first {...} whose braces balance, by a fold over its signs; null without one."""
-    start = F.locate("{", text)
+def balanced_part(text: Column, opening: str = "{", closing: str = "}") -> Column:
+    """What stands from the first opening sign to the one that balances it, by a fold over its signs; null without one."""
+    start = F.locate(opening, text)
     signs = F.split(F.substring(text, start, F.length(text)), "")
     state = F.aggregate(
         signs,
         F.struct(F.lit(0).alias("depth"), F.lit(0).alias("seen"), F.lit(0).alias("end")),
         lambda s, c: F.struct(
-            (s["depth"] + F.when(c == "{", 1).when(c == "}", -1).otherwise(0)).alias("depth"),
+            (s["depth"] + F.when(c == opening, 1).when(c == closing, -1).otherwise(0)).alias("depth"),
             (s["seen"] + 1).alias("seen"),
-            F.when((s["end"] == 0) & (c == "}") & (s["depth"] == 1), s["seen"] + 1).otherwise(s["end"]).alias("end"),
+            F.when((s["end"] == 0) & (c == closing) & (s["depth"] == 1), s["seen"] + 1).otherwise(s["end"]).alias("end"),
         ),
     )
     return F.when((start > 0) & (state["end"] > 0), F.substring(text, start, state["end"]))
 
 
 def tolerant_json(text: Column, objects_only: bool = True) -> Column:
-    """A variant: the text itself, else its code fence, else its first balanced object; null if none parses."""
-    tiers = [F.try_parse_json(F.trim(t)) for t in (text, fenced(text), balanced_object(text))]
-    if objects_only:
-        tiers = [F.when(F.schema_of_variant(t).startswith("OBJECT"), t) for t in tiers]
-    return F.coalesce(*tiers)
+    """A variant: the text itself, else its code fence, else its first balanced object (or list); null if none parses.
+
+    The first of these that parses is the answer: with objects_only, null if it is no object.
+    """
+    tiers = [text, fenced(text), balanced_part(text), *([] if objects_only else [balanced_part(text, "[", "]")])]
+    found = F.coalesce(*[F.try_parse_json(F.trim(t)) for t in tiers])
+    return F.when(is_object(found), found) if objects_only else found
+
+
+def is_object(value: Column) -> Column:
+    """Whether a variant is an object."""
+    return F.coalesce(F.schema_of_variant(value).startswith("OBJECT"), F.lit(False))
+
+
+def json_string(text: Column) -> Column:
+    """The text as JSON writes it."""
+    whole = F.to_json(F.struct(text.alias("v")))
+    return F.substring(whole, F.lit(6), F.length(whole) - 6)
+
+
+def any_unwrapped(content: Column, field_key: Column) -> Column:
+    """A model's answer as plain text: parsed if it can be, without a wrapper of the field's key and then of any only key; lists and objects as JSON."""
+    text = F.trim(F.coalesce(content, F.lit("")))
+    parsed = F.coalesce(*[F.try_parse_json(F.trim(t)) for t in (text, fenced(text), balanced_part(text))])
+    once = only_value(parsed, field_key)
+    inner = F.coalesce(only_value(once, None), once)
+    plain = F.try_variant_get(inner, "$", "string")
+    kind = F.schema_of_variant(inner)
+    return F.when(parsed.isNull() | (kind == "VOID"), text).when(kind.startswith("OBJECT") | kind.startswith("ARRAY"), F.to_json(inner)).otherwise(plain)
+
+
+def only_value(value: Column, key: Column | None) -> Column:
+    """What an object has under its only key, if that is key (or whatever it is); otherwise the value as it is."""
+    # only keys matter, so the object is read as a map of variants
+    inner = F.try_variant_get(value, "$", "map<string,variant>")
+    fits = F.size(inner) == 1
+    if key is not None:
+        fits = fits & (F.element_at(F.map_keys(inner), 1) == key)
+    return F.when(F.coalesce(is_object(value) & fits, F.lit(False)), F.element_at(F.map_values(inner), 1)).otherwise(value)
 
 
 def json_at(document: Column, path: str, kind: str = "string") -> Column:

@@ -92,7 +92,7 @@ def reasoned_again(fields: DataFrame, errors: DataFrame, regions: DataFrame, edg
     place = regions.where("field_key is not null").groupBy("doc_id", "field_key").agg(F.min_by("region_id", "pos").alias("region_id"))
     tasks = chosen.join(place, ["doc_id", "field_key"]).withColumn("prompt", reason.prompt(F.col("field_key"), F.col("demand"), F.col("hints")))
     found = answers(tasks.select("doc_id", "region_id", "field_key", "prompt")).join(tasks.select("doc_id", "region_id", "field_key"), ["doc_id", "region_id"])
-    parsed = F.coalesce(X.json_at(X.tolerant_json(F.col("content")), "value"), F.col("content"))
+    parsed = X.any_unwrapped(F.col("content"), F.col("field_key"))
     return route.retry_merged(fields, found.select("doc_id", "field_key", parsed.alias("corrected_value"), "confidence"))
 
 

@@ -1,5 +1,6 @@
 """Operators against cases and against plain Python statements of their rules."""
 
+import json
 import random
 
 import pytest
@@ -223,7 +224,7 @@ def test_assembly(spark):
     fixed = spark.createDataFrame([("s", "note", "printed"), ("s", "name", "unused")], "schema_id string, field_key string, value string")
     rows = assemble.leaves(fields, made, fixed)
     assert {r.path: r.value for r in rows.collect()} == {"a.name": "z", "a.n": "7", "note": "printed"}
-    assert assemble.nested(rows).first().assembled == '{"note":"printed","a":{"name":"z","n":"7"}}'
+    assert assemble.nested(rows).first().assembled == '{"a":{"name":"z","n":"7"},"note":"printed"}'
     assert [r.field_key for r in assemble.ghosts(fields, made).collect()] == ["ghost"]
 
 
@@ -238,12 +239,35 @@ def test_json_leaves(spark):
     df = spark.createDataFrame([("d", '{"a": {"b": "x", "c": null, "d": true}, "l": [{"result": "O", "result_confidence": 0.4}, 5], "analysis": "no", "e": ""}'), ("e", "broken")], "doc_id string, assembled string")
     got = {(r.doc_id, r.path): (r.value, r.stated) for r in assemble.json_leaves(df).collect()}
     assert got == {("d", "a.b"): ("x", None), ("d", "l[0]"): ("O", 0.4), ("d", "l[1]"): ("5", None)}
+    deep = spark.createDataFrame([("d", '{"a":{"b":{"c":{"d":{"e":{"f":{"g":7}}}}}},"r":[{"result":null,"result_confidence":"0.3"},{"result":"","result_confidence":null},{"result":"X"}]}')], "doc_id string, assembled string")
+    got = {r.path: (r.value, r.stated) for r in assemble.json_leaves(deep).collect()}
+    assert got == {"a.b.c.d.e.f.g": ("7", None), "r[0]": (None, 0.3), "r[1]": ("", 0.5), "r[2].result": ("X", None)}
 
 
 def test_completed_items(spark):
-    items = F.from_json(F.lit('{"1": {"item_result": "X"}}'), "map<string,struct<item_number:int,result:string,item_result:string,handwritten_mark:string,result_confidence:double>>")
-    got = spark.range(1).select(assemble.completed_items(items, 3).alias("o")).first().o
-    assert [tuple(i) for i in got] == [(1, "?", 0.0), (2, "X", 0.0), (3, "?", 0.0)]
+    items = F.parse_json(F.lit('{"1": {"item_result": "X"}, "2": [{"item_number": "x", "result": null, "item_result": "O", "note": [1]}], "3": "plain", "4": {"item_number": 9, "result_confidence": 0.7}}'))
+    got = json.loads(spark.range(1).select(assemble.completed_items(items, 5).alias("o")).first().o)
+    first, second, third, fourth, fifth = got
+    assert first == {"item_number": 1, "result": "?", "result_confidence": 0.0} and second == {"item_result": "X", "item_number": 2, "result": "X", "result_confidence": 0.0}
+    # a result that is null has its key, so no alias takes its place
+    assert third == {"result": None, "item_result": "O", "note": [1], "item_number": 3, "result_confidence": 0.0}
+    assert fourth == "plain" and fifth == {"item_number": 9, "result_confidence": 0.7, "result": "?"}
+
+
+def test_assembled_documents(spark):
+    made = spark.createDataFrame([("s", k, f, p) for k, (f, p) in enumerate([("a", "x.y.z"), ("b", "x.q"), ("c", "flag"), ("d", "x.y.w"), ("item_2", "checklist_items.1"), ("e", "n"), ("f", "last")])], "schema_id string, ord int, field_key string, path string")
+    values = [("a", '{"a": {"z": [1, {"k": "é"}]}}'), ("b", '"quoted"'), ("c", "true"), ("d", "-007"), ("item_2", '{"result": "O"}'), ("e", "None"), ("unknown", "u")]
+    fields = spark.createDataFrame([("d", "s", f, k, 0.5, "", v) for k, (f, v) in enumerate(values)], "doc_id string, schema_id string, field_key string, pos int, confidence double, raw_value string, corrected_value string")
+    fixed = spark.createDataFrame([("s", "f", "printed"), ("s", "a", "not used")], "schema_id string, field_key string, value string")
+    text = assemble.assembled(fields, made, fixed).first().assembled
+    items = [{"item_number": k, "result": "?", "result_confidence": 0.0} for k in range(1, 7)]
+    items[1] = {"result": "O", "item_number": 2, "result_confidence": 0.0}
+    assert json.loads(text) == {"x": {"y": {"z": [1, {"k": "é"}], "w": -7}, "q": '"quoted"'}, "flag": True, "checklist_items": items, "last": "printed"}
+    assert list(json.loads(text)) == ["x", "flag", "checklist_items", "last"]
+    old = spark.createDataFrame([("d", "{}"), ("k", '{"kept":1}')], "doc_id string, assembled string")
+    got = {r.doc_id: r.assembled for r in assemble.reassembled(old, fields, made, old.where("doc_id = 'd'"), fixed).collect()}
+    assert got == {"d": text, "k": '{"kept":1}'}
+    assert {r.field_key for r in assemble.known(fields, made, fixed).collect()} == {v for v, _ in values} - {"unknown"}
 
 
 # Routing, evaluation, re-reading
