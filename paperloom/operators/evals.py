@@ -130,3 +130,29 @@ def snapshot(fields: DataFrame, run: Column) -> DataFrame:
     n = F.size("token_logprobs")
     mean = F.when(n > 0, F.aggregate("token_logprobs", F.lit(0.0), lambda s, x: s + x) / n).otherwise(0.0)
     return fields.select(run.alias("run_idx"), "doc_id", "field_key", F.col("corrected_value").alias("value"), F.round("confidence", 4).alias("confidence"), F.round(mean, 4).alias("logprob"))
+
+
+def failure_streaks(checks: DataFrame, service: str, at: str, *ties: str, failures: int = 3) -> DataFrame:
+    """checks(ok) with streak, the failures in a row up to each, and healthy: fewer than failures of them."""
+    order = Window.partitionBy(service).orderBy(at, *ties).rowsBetween(Window.unboundedPreceding, 0)
+    inside = checks.withColumn("__island", F.sum(F.col("ok").cast("long")).over(order))
+    within = Window.partitionBy(service, "__island").orderBy(at, *ties).rowsBetween(Window.unboundedPreceding, 0)
+    return inside.withColumn("streak", F.sum((~F.col("ok")).cast("long")).over(within)).withColumn("healthy", F.col("streak") < failures).drop("__island")
+
+
+def only_in_one(a: DataFrame, b: DataFrame, key: str, names: tuple[str, str]) -> DataFrame:
+    """(key, side) of what only one of two sets has."""
+    sides = [x.select(key).join(y.select(key), key, "left_anti").withColumn("side", F.lit(n)) for x, y, n in ((a, b, names[0]), (b, a, names[1]))]
+    return sides[0].unionByName(sides[1])
+
+
+def page_outline(contours: DataFrame, most: int = 5) -> DataFrame:
+    """The largest of a page's contours(doc_id, pos, area, n_points) that has four corners, among the most largest ones."""
+    few = largest(contours, "area", most=most)
+    return few.where("n_points = 4").groupBy("doc_id").agg(F.min_by(F.struct("pos", "area", "turn"), "turn").alias("c")).select("doc_id", "c.*")
+
+
+def variance(runs: DataFrame, values: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """(times, flags, values, determinism) of repeated runs(doc_id, run_idx, total_ms, processing_path, form_type, review_required) and their values(doc_id, run_idx, key, value), fields and leaves alike."""
+    seen = consistency(values, "doc_id", "key").join(distinct_values(values, "doc_id", "key"), ["doc_id", "key"])
+    return timing_stats(runs, "doc_id"), run_flags(runs, "doc_id"), seen, determinism(seen, "doc_id")

@@ -11,13 +11,13 @@ from collections.abc import Callable, Iterator
 from typing import Protocol
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import geometry as G
 from ..functions import text as X
 from ..functions.scoring import classified_confidence, clamped, token_confidence
-from ..model import BUDGET_OF_CONTENT, CLASS_OF_TYPE, REGION_OF_CONTENT, looked_up, pixel_budget, skill
+from ..model import BUDGET_OF_CONTENT, CLASS_OF_TYPE, REGION_OF_CONTENT, least_confidence, looked_up, pixel_budget, skill
 
 # The margin of a crop, as a part of its sides.
 PADDING = {"text": 0.05, "header": 0.05, "footer": 0.05, "handwritten_field": 0.15, "seal": 0.10, "table": 0.05, "signature": 0.10}
@@ -162,3 +162,77 @@ def prompts(regions: DataFrame, templates: DataFrame) -> DataFrame:
 def with_hint(prompt: Column, hint: Column, most: int = 200) -> Column:
     cut = F.when(F.length(hint) > most, F.concat(F.substring(hint, 1, most), F.lit("…"))).otherwise(hint)
     return F.when(X.blank(hint), prompt).otherwise(F.concat(prompt, F.lit("\n\nOCR: "), cut))
+
+
+def in_order(answers: DataFrame, work: DataFrame) -> DataFrame:
+    """Answers with the place of their task, in that order within each document."""
+    return answers.join(work.select("doc_id", "region_id", "pos"), ["doc_id", "region_id"]).withColumn("turn", F.row_number().over(Window.partitionBy("doc_id").orderBy("pos", "region_id")))
+
+
+def with_cells(results: DataFrame, cells: DataFrame) -> DataFrame:
+    """Results of the readers, then those of the tables' cells, numbered anew within each document."""
+    both = results.withColumn("__part", F.lit(0)).unionByName(cells.withColumn("__part", F.lit(1)), allowMissingColumns=True)
+    return both.withColumn("pos", F.row_number().over(Window.partitionBy("doc_id").orderBy("__part", "pos", "region_id")) - 1).drop("__part")
+
+
+def read_twice(work: DataFrame, answers: Callable[[DataFrame], DataFrame], below: float = 0.70) -> DataFrame:
+    """Answers to work, and where the first is less sure than below, the surer of two (the first if equal); n_reads says how many there were."""
+    first = answers(work)
+    weak = work.join(first.where(F.coalesce("confidence", F.lit(0.0)) < below).select("doc_id", "region_id"), ["doc_id", "region_id"], "left_semi")
+    second = answers(weak).select("doc_id", "region_id", F.struct("content", "confidence").alias("__second"))
+    both = first.join(second, ["doc_id", "region_id"], "left")
+    best = better_of(F.struct("content", "confidence"), F.col("__second"))
+    return both.withColumn("__best", F.when(F.col("__second").isNull(), F.struct("content", "confidence")).otherwise(best)).select("doc_id", "region_id", "__best.content", "__best.confidence", F.when(F.col("__second").isNull(), 1).otherwise(2).alias("n_reads"))
+
+
+def two_pass_tables(tables: DataFrame, first: Callable[[DataFrame], DataFrame], second: Callable[[DataFrame], DataFrame]) -> tuple[DataFrame, DataFrame]:
+    """(cells, results): the structure that a first reading gives of every table, and what a second one reads in its full cells."""
+    cells = table_cells(first(tables))
+    return cells, second(cell_tasks(cells))
+
+
+def approval_tables(cells: DataFrame) -> DataFrame:
+    """(doc_id, region_id, approval): whether any cell of a table has a role in an approval."""
+    role = F.coalesce(F.col("role"), F.lit(""))
+    return cells.groupBy("doc_id", "region_id").agg(F.bool_or(role.contains("결재") | F.lower(role).contains("approv")).alias("approval"))
+
+
+NO_CONTEXT = "(no text was read)"
+
+
+def context_or_placeholder(documents: DataFrame, contexts: DataFrame) -> DataFrame:
+    """(doc_id, context) of every document; one without any text has a placeholder."""
+    return documents.select("doc_id").join(contexts, "doc_id", "left").withColumn("context", F.coalesce(F.nullif(F.trim("context"), F.lit("")), F.lit(NO_CONTEXT)))
+
+
+def aggregated(results: DataFrame, answers: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(documents, fields): the official object that a model makes of what the skills read, and all fields.
+
+    answers(doc_id, content, logprobs) has one answer for each document, with null content
+    where the model failed. The object is the answer's JSON; it is a field of its own,
+    aggregator_blob, after those of the skills, as sure as the answer's tokens. Without an
+    answer, or without an object in it, the flat fields are all there is, and a warning says why.
+    """
+    flat = skill_fields(results)
+    parsed = X.tolerant_json(F.col("content"))
+    said = answers.select("doc_id", F.to_json(parsed).alias("assembled"), token_confidence(F.col("logprobs"), F.lit("text")).alias("confidence"), "logprobs", F.when(F.col("content").isNull(), "vlm_call_failed").when(parsed.isNull(), "집계 JSON 파싱 실패").alias("warning"))
+    documents = results.select("doc_id").distinct().join(said, "doc_id", "left").select("doc_id", "assembled", F.coalesce("warning", F.when(F.col("confidence").isNull(), F.lit("vlm_call_failed"))).alias("warning"))
+    blob = said.where("assembled is not null").select(
+        "doc_id", F.lit(2**31 - 1).alias("pos"), F.lit("aggregator_blob").alias("field_key"), F.col("assembled").alias("raw_value"), F.col("assembled").alias("corrected_value"), F.lit("text").alias("data_type"), "confidence",
+        F.coalesce("logprobs", F.array().cast("array<double>")).alias("token_logprobs"), F.lit(None).cast("string").alias("region_id"), F.lit(False).alias("was_retried"),
+    )
+    fields = flat.unionByName(blob)
+    return documents, fields.withColumn("is_flagged", F.col("confidence") < least_confidence(F.col("data_type")))
+
+
+def scored_fields(fields: DataFrame) -> DataFrame:
+    """fields(field_key, data_type, token_logprobs) with confidence, the least one of their type, whether they miss it, and their number of tokens."""
+    c = token_confidence(F.col("token_logprobs"), looked_up(F.col("data_type"), CLASS_OF_TYPE, "text"))
+    least = least_confidence(F.col("data_type"))
+    return fields.withColumns({"confidence": c, "least": least, "is_flagged": c < least, "n_tokens": F.greatest(F.size("token_logprobs"), F.lit(0))})
+
+
+def table_rows(answers: DataFrame) -> DataFrame:
+    """(doc_id, region_id, row, col, text, confidence): the cells of tables that were read as HTML, each as sure as its answer (0.5 without tokens)."""
+    c = F.when(F.size("logprobs") > 0, token_confidence(F.col("logprobs"), F.lit("text"))).otherwise(0.5)
+    return answers.select("doc_id", "region_id", F.explode(X.html_cells(F.col("content"))).alias("c"), c.alias("confidence")).select("doc_id", "region_id", "c.row", "c.col", "c.text", "confidence")

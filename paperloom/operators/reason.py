@@ -18,6 +18,7 @@ RELATED = {
     "submitter_name": ("representative",), "seal_issuing_office": ("seal_issue_number", "seal_issue_date"), "seal_issue_number": ("seal_issuing_office", "seal_issue_date"),
     "seal_issue_date": ("seal_issuing_office", "seal_issue_number", "submission_date"),
 }
+# How a prompt states an error.
 _ERROR = "(오류: %s)"
 # What a prompt demands after an error of a type.
 DEMANDS = (

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..model import NEXT_BUDGET, looked_up
 
+# What a training example asks for.
 INSTRUCTION = "이 서식에서 모든 필드를 추출하세요."
 
 
@@ -90,6 +91,10 @@ def training_pairs(queue: DataFrame, output_format: str = "sft", status: str = "
     if output_format == "dpo":
         rejected = F.coalesce(F.nullif(F.col("errors_json"), F.lit("")), F.lit("{}"))
         return rows.select(*base, F.col("corrected_json").alias("chosen"), rejected.alias("rejected"))
+    if output_format == "classify":
+        return rows.select("doc_id", base[1], "form_type")
+    if output_format != "sft":
+        raise ValueError(f"no such format: {output_format}")
     return rows.select(*base, F.col("corrected_json").alias("response"))
 
 
@@ -110,3 +115,35 @@ def retry_merged(fields: DataFrame, retried: DataFrame) -> DataFrame:
 def retry_candidates(fields: DataFrame, regions: DataFrame, below: float = 0.60) -> DataFrame:
     weak = fields.where((F.col("confidence") < below) & ~F.col("was_retried"))
     return weak.join(regions.select("doc_id", "region_id"), ["doc_id", "region_id"], "left_semi")
+
+
+def instructed(regions: DataFrame, instructions: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(regions in reading order with their instruction, a warning for each region without one)."""
+    made = instructions.select("doc_id", "region_id", *[c for c in instructions.columns if c not in regions.columns])
+    found = regions.join(made, ["doc_id", "region_id"])
+    missing = regions.join(made, ["doc_id", "region_id"], "left_anti")
+    turn = F.row_number().over(Window.partitionBy("doc_id").orderBy("order_idx", "region_id"))
+    return found.withColumn("turn", turn), missing.select("doc_id", "region_id", F.concat(F.lit("no instruction: "), F.col("region_id")).alias("warning"))
+
+
+def is_domain(form_type: Column) -> Column:
+    """Whether a document is of the domain; others take the path without rules."""
+    return form_type != "other"
+
+
+def queue_search(queue: DataFrame, *, form_type: str | None = None, path: str | None = None, first: str | None = None, last: str | None = None, status: str | None = None, priority: str | None = None) -> DataFrame:
+    """Items of documents of the domain to list, by form type, path and days (both included), in the order of queue_page."""
+    out = queue.where(is_domain(F.col("form_type")))
+    for column, value in (("form_type", form_type), ("processing_path", path)):
+        out = out if value is None else out.where(F.col(column) == value)
+    day = F.to_date("enqueued_at")
+    out = out if first is None else out.where(day >= F.lit(first).cast("date"))
+    out = out if last is None else out.where(day <= F.lit(last).cast("date"))
+    return queue_page(out, status, priority)
+
+
+def queue_distribution(queue: DataFrame, now: Column) -> DataFrame:
+    """Items, pending and critical ones, and the mean wait in minutes, by form type and status, with totals."""
+    minutes = (F.unix_micros(now) - F.unix_micros("enqueued_at")) / 6e7
+    open_item = F.col("status").isin("pending", "in_review")
+    return queue.rollup("form_type", "status").agg(F.count("*").alias("n"), F.count_if(F.col("status") == "pending").alias("pending"), F.count_if(F.col("priority") == "critical").alias("critical"), F.round(F.avg(F.when(open_item, minutes)), 2).alias("mean_wait_minutes"))

@@ -18,6 +18,7 @@ from ..functions import scoring as S
 from ..functions import text as X
 from ..operators import assemble, correct, evals, infer, layout, reason, route, rules, score
 from ..sources import sinks
+from ..streaming import queues
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -412,9 +413,14 @@ SELECT doc_id, field_key, turn FROM (SELECT *, CAST(row_number() OVER (PARTITION
 )
 def top5_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The first five fields of a document to read again."""
-    w = _fields(spark, sf_dir).where(~F.col("was_retried")).withColumn("kind", F.when(F.col("pos") % 2 == 0, 0).otherwise(1))
-    turn = F.row_number().over(Window.partitionBy("doc_id").orderBy("kind", "confidence", "pos"))
-    return w.withColumn("turn", turn).where(F.col("turn") <= reason.TARGETS).select("doc_id", "field_key", "turn")
+    f = _fields(spark, sf_dir).withColumn("corrected_value", F.lit("x"))
+    # an error refers to every second field; all others are weak, and related to a field that is sure
+    errors = f.where("pos % 2 = 0").select("doc_id", "pos", F.lit("arithmetic").alias("error_type"), F.col("field_key").alias("field_ref"), F.lit("m").alias("message"))
+    weak = f.withColumn("confidence", F.col("confidence") / 2)
+    sure = f.select("doc_id").distinct().select("doc_id", F.lit(-1).alias("pos"), F.lit("sure").alias("field_key"), F.lit(0.9).alias("confidence"), F.lit(True).alias("was_retried"), F.lit("y").alias("corrected_value"))
+    both = weak.select(*sure.columns).unionByName(sure)
+    related = spark.createDataFrame([(f"line_{k}", "sure", 0) for k in range(16)], "field_key string, related_key string, ord int")
+    return reason.targets(both, errors, f.select("doc_id", "field_key"), related).select("doc_id", "field_key", "turn")
 
 
 _SQL_CODES = r"""WITH t AS (SELECT event_id, printf('%04d-%02d-%03d-%04d KN-%05d-%04d ', user_id % 10000, event_id % 100, event_id % 1000, event_id % 10000, event_id % 100000, user_id % 10000) || strftime(ts, '%Y-%m-%d') AS text FROM events),
@@ -521,10 +527,7 @@ SELECT event_id, CAST(streak AS BIGINT) AS streak, streak < 2 AS healthy FROM s"
 def failure_streaks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Failures in a row of each user's service; two make it unhealthy here."""
     e = _table(spark, sf_dir, "events").withColumn("ok", F.col("event_type") != "error")
-    order = Window.partitionBy("user_id").orderBy("ts", "event_id").rowsBetween(Window.unboundedPreceding, 0)
-    island = e.withColumn("island", F.sum(F.col("ok").cast("long")).over(order))
-    streak = F.sum((~F.col("ok")).cast("long")).over(Window.partitionBy("user_id", "island").orderBy("ts", "event_id").rowsBetween(Window.unboundedPreceding, 0))
-    return island.select("event_id", streak.alias("streak")).withColumn("healthy", F.col("streak") < 2)
+    return evals.failure_streaks(e, "user_id", "ts", "event_id", failures=2).select("event_id", "streak", "healthy")
 
 
 _SQL_ITEMS = """SELECT conv_id, turn, text, lead(text) OVER (PARTITION BY conv_id ORDER BY turn) AS answer, role, lead(role) OVER (PARTITION BY conv_id ORDER BY turn) AS next_role FROM conversations"""
@@ -624,15 +627,15 @@ def ghost_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
 def form_union(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What only one of two sets has, with its side."""
     a, b = _table(spark, sf_dir, "labels").select("doc_id"), _table(spark, sf_dir, "documents").where("lang = 'en'").select("doc_id")
-    return a.join(b, "doc_id", "left_anti").withColumn("side", F.lit("labels")).unionByName(b.join(a, "doc_id", "left_anti").withColumn("side", F.lit("documents")))
+    return evals.only_in_one(a, b, "doc_id", ("labels", "documents"))
 
 
 @query("SELECT time_bucket(INTERVAL 5 MINUTE, ts) AS window_start, event_type, count(*) AS n, round(sum(value), 2) AS total FROM events GROUP BY ALL")
 def events_windowed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tumbling windows of the queue's arrivals."""
     e = _table(spark, sf_dir, "events").withColumn("ts", F.col("ts").cast("timestamp"))
-    g = e.groupBy(F.window("ts", "5 minutes"), "event_type").agg(F.count("*").alias("n"), F.round(F.sum("value"), 2).alias("total"))
-    return g.select(F.col("window.start").cast("timestamp_ntz").alias("window_start"), "event_type", "n", "total")
+    g = queues.queue_windows(e, "ts", "10 minutes", "5 minutes", "event_type", total="value")
+    return g.select(F.col("window_start").cast("timestamp_ntz").alias("window_start"), "event_type", "n", F.round("total", 2).alias("total"))
 
 
 @query(

@@ -61,7 +61,7 @@ def validated(documents: DataFrame, fields: DataFrame, leaves: DataFrame, rules_
     form's rules on what these made of it; documents of other kinds have no errors.
     """
     checked = rules.pattern_errors(fields, type_patterns, key_patterns)
-    military = documents.where("form_type <> 'other'").select("doc_id", "form_type")
+    military = documents.where(route.is_domain(F.col("form_type"))).select("doc_id", "form_type")
     first = checked.join(military, "doc_id").select("doc_id", F.lit(1).alias("layer"), "pos", F.posexplode("pattern_errors").alias("place", "e")).select("doc_id", "layer", "pos", "place", "e.rule_id", "e.error_type", "e.severity", "e.field_ref", F.col("e.rule_id").alias("message"))
     values = path_values(leaves)
     if dictionaries:
@@ -96,6 +96,15 @@ def reasoned_again(fields: DataFrame, errors: DataFrame, regions: DataFrame, edg
     return route.retry_merged(fields, found.select("doc_id", "field_key", parsed.alias("corrected_value"), "confidence"))
 
 
+def refinement_counts(regions: DataFrame, refined: DataFrame) -> DataFrame:
+    """(doc_id, n_before, n_micro, n_after, n_taken_in): what refined_layout did to every page."""
+    before = regions.groupBy("doc_id").agg(F.count("*").alias("n_before"))
+    wide = layout.without_micro(regions).groupBy("doc_id").agg(F.count("*").alias("__wide"))
+    after = refined.groupBy("doc_id").agg(F.count("*").alias("n_after"), F.sum(F.size("members")).alias("n_taken_in"))
+    out = before.join(wide, "doc_id", "left").join(after, "doc_id", "left")
+    return out.select("doc_id", "n_before", (F.col("n_before") - F.coalesce("__wide", F.lit(0))).alias("n_micro"), F.coalesce("n_after", F.lit(0)).alias("n_after"), F.coalesce("n_taken_in", F.lit(0)).alias("n_taken_in"))
+
+
 def keyed_regions(regions: DataFrame, rules_of_schema: DataFrame) -> DataFrame:
     """Regions to read: where a schema has assembly rules, only those with a field."""
     ruled = rules_of_schema.select("schema_id").distinct().withColumn("__ruled", F.lit(True))

@@ -15,10 +15,11 @@ SCANS = "*.{jpg,jpeg,png,tiff,tif,pdf,JPG,JPEG,PNG,TIFF,TIF,PDF}"
 PDF_MAGIC = "%PDF"
 
 
-def scanned_files(spark: SparkSession, folder: str) -> DataFrame:
-    """(doc_id, path, file_ext, is_pdf, content) of the scans in a folder."""
+def scanned_files(spark: SparkSession, folder: str, by_name: bool = False) -> DataFrame:
+    """(doc_id, path, file_ext, is_pdf, content) of the scans in a folder; in order of their paths if that is asked for."""
     files = spark.read.format("binaryFile").option("pathGlobFilter", SCANS).load(folder)
     name = F.element_at(F.split("path", "/"), -1)
+    files = files.orderBy("path") if by_name else files
     return files.select(F.regexp_replace(name, r"\.[^.]*$", "").alias("doc_id"), "path", extension_of(F.col("path")).alias("file_ext"), is_pdf(F.col("content")).alias("is_pdf"), "content")
 
 
@@ -70,6 +71,43 @@ def rule_files(spark: SparkSession, paths: dict[str, str]) -> dict[str, list[dic
     return out
 
 
+def pattern_file(spark: SparkSession, path: str) -> tuple[list[dict], list[dict]]:
+    """The patterns of data types and of field keys in a YAML file that Spark reads; a missing key is no patterns."""
+    import yaml
+
+    text = spark.read.text(path, wholetext=True).first()
+    parsed = (yaml.safe_load(text.value) or {}) if text else {}
+    return parsed.get("field_type_patterns") or [], parsed.get("field_key_patterns") or []
+
+
+def prompt_examples(spark: SparkSession, files: dict[str, dict]) -> DataFrame:
+    """(form_type, field_key, ord, description, response, common_rules) from parsed example files by form type.
+
+    A file has one example, or a list of them by field key with rules common to all. The
+    first example of a list is that of the form as well: field_key is null there.
+    """
+    rows = []
+    for form, data in files.items():
+        listed, common = data.get("examples"), data.get("common_rules")
+        if isinstance(listed, list) and listed:
+            rules = common.strip() or None if isinstance(common, str) else None
+            by_key = {e["field_key"]: e for e in listed if isinstance(e, dict) and e.get("field_key")}
+            chosen = [(None, next(iter(by_key.values())))] if by_key else []
+            chosen += by_key.items()
+        else:
+            rules, chosen = None, [(None, data)]
+        rows += [(form, key, k, e.get("example_description", ""), e.get("example_response", ""), rules) for k, (key, e) in enumerate(chosen)]
+    return spark.createDataFrame(rows, "form_type string, field_key string, ord int, description string, response string, common_rules string")
+
+
+def example_of(regions: DataFrame, examples: DataFrame) -> DataFrame:
+    """regions(form_type, field_key, ...) with the example of their field, else of their form."""
+    own = examples.where("field_key is not null").select("form_type", "field_key", F.struct("description", "response").alias("__own"), F.col("common_rules").alias("__rules"))
+    whole = examples.where("field_key is null").select("form_type", F.struct("description", "response").alias("__whole"))
+    out = regions.join(own, ["form_type", "field_key"], "left").join(whole, "form_type", "left")
+    return out.withColumns({"example": F.coalesce("__own", "__whole"), "common_rules": F.col("__rules")}).drop("__own", "__whole", "__rules")
+
+
 def dictionary(spark: SparkSession, rows: list[tuple], columns: str) -> DataFrame:
     """A dictionary with its order in ord."""
     return spark.createDataFrame([(k, *r) for k, r in enumerate(rows)], f"ord int, {columns}")
@@ -89,6 +127,26 @@ def latest_schemas(schemas: DataFrame) -> DataFrame:
     return schemas.where("not deprecated").groupBy("schema_id").agg(F.max_by(F.struct("version", "schema"), "load_pos").alias("s")).select("schema_id", "s.*")
 
 
+# Other names of schemas.
+SCHEMA_ALIASES = {"other": "official_document", "unknown": "_fallback"}
+
+
+def schema_of(schemas: DataFrame, name: str, version: str | None = None) -> DataFrame:
+    """The last loaded schema of a name (an alias, or name:version) that isn't deprecated and whose version is, or begins with, the one asked for; at most one row."""
+    if version is None and ":" in name:
+        name, version = name.split(":", 1)
+    fits = (F.col("schema_id") == SCHEMA_ALIASES.get(name, name)) & ~F.col("deprecated")
+    if version is not None:
+        fits = fits & ((F.col("version") == version) | F.col("version").startswith(version.lstrip("v")))
+    one = schemas.where(fits).agg(F.max_by(F.struct("schema_id", "version", "schema"), "load_pos").alias("s"))
+    return one.where("s is not null").select("s.*")
+
+
+def listed_schemas(schemas: DataFrame) -> DataFrame:
+    """(schema_id, version, deprecated) of all, a schema without a version as 0.0.0."""
+    return schemas.select("schema_id", F.coalesce("version", F.lit("0.0.0")).alias("version"), F.coalesce("deprecated", F.lit(False)).alias("deprecated"))
+
+
 def assembly_rules(schema_id: str, schema: str, keyword: str = "x-assembly-rules") -> list[tuple]:
     """(schema_id, ord, field_key, path) of a schema's text."""
     return [(schema_id, k, field, path) for k, (field, path) in enumerate((json.loads(schema).get(keyword) or {}).items())]
@@ -134,3 +192,13 @@ def sub_schema(schema: dict, field_key: str) -> dict:
     if rest and inner and rest[-1] in (inner.get("properties") or {}):
         return {"type": "object", "properties": {rest[-1]: inner["properties"][rest[-1]]}, "required": [rest[-1]]}
     return inner or properties.get(field_key) or schema
+
+
+def tolerant(documents: DataFrame, text: str = "value", into: str = "parsed") -> DataFrame:
+    """documents with their JSON text as a variant; null where it can't be parsed."""
+    return documents.withColumn(into, F.try_parse_json(text))
+
+
+def new_folders(after: DataFrame, before: DataFrame) -> DataFrame:
+    """Folders of runs that are there after a run and weren't before."""
+    return after.select("folder").subtract(before.select("folder"))

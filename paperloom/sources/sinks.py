@@ -20,7 +20,10 @@ def csv_rows(fields: DataFrame) -> DataFrame:
 
 
 def serialized(documents: DataFrame, columns: list[str], formats: tuple[str, ...] = ("json", "xml")) -> DataFrame:
+    """documents with a column for each format asked for: json_output, xml_output, csv_output (one line of its values)."""
     out = documents
+    if "csv" in formats:
+        out = out.withColumn("csv_output", F.to_csv(F.struct(*columns)))
     if "json" in formats:
         out = out.withColumn("json_output", json_document(columns))
     return out.withColumn("xml_output", xml_document(columns)) if "xml" in formats else out

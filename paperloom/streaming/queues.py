@@ -20,10 +20,11 @@ def arrivals(spark: SparkSession, folder: str, per_trigger: int = 100) -> DataFr
     return spark.readStream.format("binaryFile").schema(schema).option("pathGlobFilter", SCANS).option("maxFilesPerTrigger", per_trigger).load(folder)
 
 
-def queue_windows(events: DataFrame, at: str = "enqueued_at", late: str = "10 minutes", width: str = "5 minutes", *keys: str) -> DataFrame:
-    """Counts by window; what is later than the watermark is dropped."""
-    counted = events.withWatermark(at, late).groupBy(F.window(at, width), *keys).count()
-    return counted.select(F.col("window.start").alias("window_start"), *keys, F.col("count").alias("n"))
+def queue_windows(events: DataFrame, at: str = "enqueued_at", late: str = "10 minutes", width: str = "5 minutes", *keys: str, total: str | None = None) -> DataFrame:
+    """Counts by window, and the sum of a column; on a stream, what is later than the watermark is dropped."""
+    sums = [] if total is None else [F.sum(total).alias("total")]
+    counted = events.withWatermark(at, late).groupBy(F.window(at, width), *keys).agg(F.count("*").alias("n"), *sums)
+    return counted.select(F.col("window.start").alias("window_start"), *[c for c in counted.columns if c != "window"])
 
 
 def health_states(checks: DataFrame, failures: int = FAILURES) -> DataFrame:
