@@ -887,3 +887,4 @@ def fallback_types(spark: SparkSession, sf_dir: str) -> DataFrame:
     region = model.region_of_fallback(F.when(F.col("p_size") % 4 == 0, "text").when(F.col("p_size") % 4 == 1, "seal").otherwise("signature"))
     previous = F.when(F.col("p_size") % 2 == 0, F.when(F.col("p_retailprice") < 950, 0.79).otherwise(0.8))
     return p.select("p_partkey", form.alias("form"), region.alias("region"), model.title_of(form).alias("title"), model.wants_hint(previous, F.col("p_size") < 20).alias("hinted"))
+from . import records  # noqa: E402, F401  it registers its own queries
