@@ -133,12 +133,16 @@ def any_unwrapped(content: Column, field_key: Column) -> Column:
 
 def only_value(value: Column, key: Column | None) -> Column:
     """What an object has under its only key, if that is key (or whatever it is); otherwise the value as it is."""
-    # only keys matter, so the object is read as a map of variants
-    inner = F.try_variant_get(value, "$", "map<string,variant>")
-    fits = F.size(inner) == 1
-    if key is not None:
-        fits = fits & (F.element_at(F.map_keys(inner), 1) == key)
-    return F.when(F.coalesce(is_object(value) & fits, F.lit(False)), F.element_at(F.map_values(inner), 1)).otherwise(value)
+    # only keys matter, so the object is read as a map of variants; a transform makes it once for all that reads it
+    entries = F.transform(F.array(value), lambda v: F.struct(v.alias("v"), F.map_entries(F.try_variant_get(v, "$", "map<string,variant>")).alias("in")))
+
+    def opened(e: Column) -> Column:
+        fits = F.size(e["in"]) == 1
+        if key is not None:
+            fits = fits & (F.get(e["in"], F.lit(0))["key"] == key)
+        return F.when(F.coalesce(is_object(e["v"]) & fits, F.lit(False)), F.get(e["in"], F.lit(0))["value"]).otherwise(e["v"])
+
+    return F.get(F.transform(entries, opened), F.lit(0))
 
 
 def json_at(document: Column, path: str, kind: str = "string") -> Column:

@@ -432,12 +432,12 @@ def page_geometry(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(f"""WITH {_SQL_LINES}, s AS (SELECT doc_id, pos, l_partkey % 256 AS brightness, CAST(l_quantity AS DOUBLE) AS contrast, (l_suppkey * 13 % 900)::DOUBLE AS sharpness, l_discount::DOUBLE AS ink, CASE WHEN pos % 2 = 0 THEN 'low' ELSE 'mid' END AS band FROM lines)
-SELECT doc_id, pos, CAST(floor(round((CASE WHEN brightness < 50 THEN 0.3 WHEN brightness > 220 THEN 0.6 ELSE 1.0 END::DOUBLE + least(1.0, contrast / 60) + least(1.0, sharpness / CASE WHEN band = 'low' THEN 200 ELSE 500 END) + CASE WHEN ink < 0.01 THEN 0.1 WHEN ink > 0.8 THEN 0.4 ELSE 1.0 END::DOUBLE) / 4 * CASE WHEN band = 'low' THEN 0.85 ELSE 1.0 END::DOUBLE, 4) * 1000 + 0.25) AS BIGINT) AS quality FROM s""")
+SELECT doc_id, pos, CAST(round(CAST(CAST((CASE WHEN brightness < 50 THEN 0.3 WHEN brightness > 220 THEN 0.6 ELSE 1.0 END::DOUBLE + least(1.0, contrast / 60) + least(1.0, sharpness / CASE WHEN band = 'low' THEN 200 ELSE 500 END) + CASE WHEN ink < 0.01 THEN 0.1 WHEN ink > 0.8 THEN 0.4 ELSE 1.0 END::DOUBLE) / 4 * CASE WHEN band = 'low' THEN 0.85 ELSE 1.0 END::DOUBLE AS VARCHAR) AS DECIMAL(30, 20)), 4) AS DOUBLE) AS quality FROM s""")
 def image_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Quality of page images by their statistics, to the digits that don't depend on how a tie is written."""
+    """Quality of page images by their statistics."""
     band = F.when(F.col("pos") % 2 == 0, "low").otherwise("mid")
     score_ = G.quality_score(F.col("l_partkey") % 256, F.col("l_quantity").cast("double"), (F.col("l_suppkey") * 13 % 900).cast("double"), F.col("l_discount").cast("double"), band)
-    return _lines(spark, sf_dir).select("doc_id", "pos", F.floor(score_ * 1000 + 0.25).cast("long").alias("quality"))
+    return _lines(spark, sf_dir).select("doc_id", "pos", score_.alias("quality"))
 
 
 @query(f"""WITH {_SQL_REGIONS}, t AS (SELECT doc_id, pos, (x2 - x1) * (y2 - y1) AS area, CASE WHEN pos % 2 = 0 THEN 4 ELSE 5 END AS n_points, row_number() OVER (PARTITION BY doc_id ORDER BY (x2 - x1) * (y2 - y1) DESC, pos) AS turn FROM regions)
