@@ -17,54 +17,63 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.quality_digest(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+def query(sql: str | None = None):
+    """Register a query under its function's name, with SQL where SQL can express it."""
 
+    def register(f):
+        QUERIES[f.__name__] = f
+        if sql is not None:
+            ORACLE[f.__name__] = sql
+        return f
 
-def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return toxicity.toxicity_digest(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+    return register
 
 
-def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return simhash.simhash_digest(_table(spark, sf_dir, "documents"))
+@query()
+def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality_digest(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
-def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.pack_documents(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+@query()
+def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.piece_digest(_table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
 
+@query(search.ORACLE)
+def op3_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search.search_digest(_table(spark, sf_dir, "documents"))
 
+
+@query(vectors.ORACLE)
 def op4_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vectors.near_vectors(_table(spark, sf_dir, "embeddings"))
 
 
-def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return shards.shard_documents(_table(spark, sf_dir, "documents"))
+@query()
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity_digest(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
-def op8_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return urls.url_digest(_table(spark, sf_dir, "pages"))
+@query()
+def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
-def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pages.page_digest(_table(spark, sf_dir, "pages"))
+@query()
+def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shards.shard_documents(_table(spark, sf_dir, "documents"))
 
 
-def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pieces.piece_digest(_table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+@query(urls.ORACLE)
+def op8_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urls.url_digest(_table(spark, sf_dir, "pages"))
 
 
-QUERIES["op2_sentencepiece"] = op2_sentencepiece
-def op3_search(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return search.search_digest(_table(spark, sf_dir, "documents"))
+@query()
+def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.simhash_digest(_table(spark, sf_dir, "documents"))
 
 
-QUERIES["op3_search"] = op3_search
-QUERIES["op10_html_text"] = op10_html_text
-QUERIES["op8_url_filters"] = op8_url_filters
-ORACLE["op8_url_filters"] = urls.ORACLE
-QUERIES["op7_sharding"] = op7_sharding
-QUERIES["op4_embeddings"] = op4_embeddings
-QUERIES["op6_packing"] = op6_packing
-QUERIES["op9_simhash"] = op9_simhash
-QUERIES["op1_quality"] = op1_quality
-QUERIES["op5_toxicity"] = op5_toxicity
+@query()
+def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pages.page_digest(_table(spark, sf_dir, "pages"))

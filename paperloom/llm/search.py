@@ -268,3 +268,16 @@ def search(documents: DataFrame, queries: DataFrame, k: int = 10) -> DataFrame:
 def search_digest(documents: DataFrame) -> DataFrame:
     """Every hundredth document, by id, as a query against all documents."""
     return search(documents, documents.where(F.col("doc_id") % 100 == 0).select("doc_id", "text"))
+
+
+#: The registered query in SQL: every pair of a query and a document that share a term.
+ORACLE = r"""
+WITH d AS (SELECT doc_id, coalesce(regexp_extract_all(lower(text), '[\p{L}\p{N}]+'), []) AS words FROM documents WHERE doc_id IS NOT NULL),
+stats AS (SELECT count(*) AS n, sum(len(words)) / CAST(count(*) AS DOUBLE) AS mean FROM d),
+tf AS (SELECT doc_id, term, count(*) AS tf FROM (SELECT doc_id, unnest(words) AS term FROM d) GROUP BY ALL),
+df AS (SELECT term, count(*) AS df FROM tf GROUP BY term),
+scores AS (
+  SELECT q.doc_id AS query_id, x.doc_id, round(sum(ln(1 + (n - df + 0.5) / (df + 0.5)) * x.tf * 2.2 / (x.tf + 1.2 * (0.25 + 0.75 * len(d.words) / mean))), 9) AS score
+  FROM tf q JOIN tf x ON q.term = x.term JOIN df ON df.term = x.term JOIN d ON d.doc_id = x.doc_id CROSS JOIN stats WHERE q.doc_id % 100 = 0 GROUP BY ALL)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc_id) AS rank FROM scores) WHERE rank <= 10
+"""

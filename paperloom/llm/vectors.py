@@ -305,3 +305,15 @@ def near_vectors(vectors: DataFrame, key: str = "vec_id", vector: str = "embeddi
     out = ids.join(counts, "key", "left").join(classes.withColumnRenamed("id", "key"), "key", "left")
     component = F.coalesce("component", "key")
     return out.select(F.col("key").alias(key), F.coalesce("n", F.lit(0)).cast("long").alias("n_links"), component.alias("component_id"), (F.col("key") == component).alias("kept"))
+
+
+#: The registered query in SQL: all pairs, and what links reach from every vector.
+ORACLE = """
+WITH RECURSIVE v AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
+good AS (SELECT * FROM v WHERE len(e) > 0 AND len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(e, lambda x: x <> 0)) > 0),
+links AS (SELECT a.vec_id AS a, b.vec_id AS b FROM good a JOIN good b ON a.vec_id <> b.vec_id AND len(a.e) = len(b.e) AND list_cosine_similarity(a.e, b.e) >= 0.95),
+counts AS (SELECT a, count(*) AS n FROM links GROUP BY a),
+reach(id, near) AS (SELECT vec_id, vec_id FROM v UNION SELECT r.id, l.b FROM reach r JOIN links l ON r.near = l.a),
+least AS (SELECT id, min(near) AS component_id FROM reach GROUP BY id)
+SELECT v.vec_id, coalesce(n, 0) AS n_links, component_id, v.vec_id = component_id AS kept FROM v LEFT JOIN counts ON a = v.vec_id LEFT JOIN least ON id = v.vec_id
+"""
