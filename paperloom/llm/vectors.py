@@ -4,11 +4,11 @@ Unit vectors have cosine >= c exactly if their distance is at most eps = sqrt(2
 vectors are turned onto their principal axes and sorted by the cells, of width eps, that
 they lie in along the leading ones. The sorted sequence is cut into intervals of SPAN
 vectors, and the intervals are joined recursively: a pair of intervals whose boxes are
-over eps apart along some axis is skipped, any other is halved until it is a few rows wide,
-and is then compared by a matrix product. The first levels of the recursion are joins of
-tables of boxes (FAN_OUT intervals make one of the next level), the last ones run within a
-task. A pair of intervals whose balls are far apart, or so near that all their vectors
-link, needs no product either.
+over eps apart is skipped, any other is halved until it is a few rows wide, and is then
+compared by a matrix product. The first levels of the recursion are joins of tables of nodes
+(fan_out intervals make one of the next level), the last ones run within a task. A pair of
+nodes whose balls are far apart, or so near that all their vectors link, is settled where it
+is met: its rows are neither compared nor shuffled.
 
 Counts of links are added up in the task, and of the links themselves a spanning forest is
 kept: the components need no more, and a group of near copies never becomes all its pairs.
@@ -16,15 +16,18 @@ kept: the components need no more, and a group of near copies never becomes all
 Defined results: a vector that is null, empty, zero, or holds a null or a non-finite
 component links with nothing and is its own component; vectors of different lengths do not
 link; repeated ids are one vertex, whose link count is that of its vectors; an empty table
-gives no rows; other columns are not read.
+gives no rows; a null id has no component and its vector links with nothing; vectors of any
+length are compared whole; of equal ones each counts; other columns are not read.
 """
 
 from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
@@ -33,7 +36,20 @@ from pyspark.sql import functions as F
 from .components import connected_components
 from .shared import batch_rows, written
 
-SPAN, FAN_OUT, LEAF = 4096, 16, 256
+@dataclass(frozen=True)
+class Grid:
+    """Vectors of an interval, intervals or nodes of a node of the next level, and rows that are compared by a product."""
+
+    span: int = 4096
+    fan_out: int = 16
+    leaf: int = 256
+
+
+#: The axes are fitted on about so many vectors, chosen by a digest of their id; all are turned onto them. Any axes give the same links.
+AXES_SAMPLE = 1 << 16
+#: Pairs of intervals that share a copy of one side's rows.
+PAIRS_OF_COPY = 64
+NODE = ["id", "n", "first", "low", "high", "centre", "radius"]
 #: Axes whose cells make the order, and axes that boxes have.
 ORDER_AXES, BOX_AXES = 6, 8
 #: What rounding may do to a distance or a cosine; nearer to the threshold than this, the plain formula decides.
@@ -64,7 +80,9 @@ def _units(payload: np.ndarray) -> np.ndarray:
 
 
 def _axes(usable: DataFrame, size: int) -> np.ndarray:
-    """Principal axes of the unit vectors of one length, by the sum of their outer products over all partitions."""
+    """Principal axes of about AXES_SAMPLE unit vectors of one length, by the sum of their outer products over all partitions."""
+    part = max(1, usable.count() // AXES_SAMPLE)
+    usable = usable.where(F.pmod(F.xxhash64("key"), F.lit(part)) == 0)
 
     def run(batches) -> Iterator[pa.RecordBatch]:
         total = np.zeros((size + 1, size))
@@ -75,10 +93,10 @@ def _axes(usable: DataFrame, size: int) -> np.ndarray:
                 total[-1] += x.sum(0)
         yield pa.RecordBatch.from_arrays([pa.array(range(total.size), pa.int32()), pa.array(total.ravel())], names=["at", "x"])
 
-    sums = usable.select("v").mapInArrow(run, "at int, x double").groupBy("at").agg(F.sum("x").alias("x")).collect()
+    # (size + 1) * size numbers, however many vectors there are
+    sums = usable.select("v").mapInArrow(run, "at int, x double").groupBy("at").agg(F.sum("x").alias("x")).toArrow()
     total = np.zeros((size + 1) * size)
-    for r in sums:  # (size + 1) * size numbers, however many vectors there are
-        total[r.at] = r.x
+    total[sums.column("at").to_numpy()] = sums.column("x").to_numpy()
     total = total.reshape(size + 1, size)
     n = max(np.trace(total[:-1]), 1.0)
     mean = total[-1] / n
@@ -86,8 +104,8 @@ def _axes(usable: DataFrame, size: int) -> np.ndarray:
     return axes[:, ::-1]
 
 
-def _intervals(usable: DataFrame, axes: np.ndarray, eps: float) -> DataFrame:
-    """(id, keys, rows, low, high): the sequence in epsilon grid order, cut into numbered intervals of SPAN vectors."""
+def _intervals(usable: DataFrame, axes: np.ndarray, eps: float, grid: Grid) -> DataFrame:
+    """(id, keys, rows, and a node's columns): the sequence in epsilon grid order, cut into numbered intervals."""
     size, n_order, n_box = len(axes), min(ORDER_AXES, len(axes)), min(BOX_AXES, len(axes))
     shown = usable.sparkSession.sparkContext.broadcast(axes)
     kind = usable.schema["v"].dataType.elementType.typeName()
@@ -114,16 +132,19 @@ def _intervals(usable: DataFrame, axes: np.ndarray, eps: float) -> DataFrame:
     # a row for each partition of the sort
     before = sequence.groupBy("part").count().select("part", F.coalesce(F.sum("count").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("before"))
     position = F.col("before") + F.col("place")
-    dealt = sequence.join(written(before, "before"), "part").select(F.floor(position / SPAN).cast("long").alias("id"), position.alias("position"), "key", "v")
+    dealt = sequence.join(written(before, "before"), "part").select(F.floor(position / grid.span).cast("long").alias("id"), position.alias("position"), "key", "v")
 
     def cut(batches) -> Iterator[pa.RecordBatch]:
         held, keys, rows = None, [], []
 
         def block() -> pa.RecordBatch:
             k, m = np.concatenate(keys), np.concatenate(rows)
-            x = _units(m) @ shown.value[:, :n_box]
-            columns = [pa.array([held]), pa.array([k.astype("<i8").tobytes()]), pa.array([m.tobytes()]), *(pa.array([v.tolist()], pa.list_(pa.float64())) for v in (x.min(0), x.max(0)))]
-            return pa.RecordBatch.from_arrays(columns, names=["id", "keys", "rows", "low", "high"])
+            x = _units(m) @ shown.value
+            centre = x.mean(0)
+            radius = math.sqrt(((x - centre) ** 2).sum(1).max())
+            columns = [pa.array([held]), pa.array([k.astype("<i8").tobytes()]), pa.array([m.tobytes()]), pa.array([len(k)]), pa.array([int(k[0])])]
+            columns += [*(pa.array([v.tolist()], pa.list_(pa.float64())) for v in (x[:, :n_box].min(0), x[:, :n_box].max(0), centre)), pa.array([radius])]
+            return pa.RecordBatch.from_arrays(columns, names=["id", "keys", "rows", *NODE[1:]])
 
         for batch in batches:
             ids = batch.column(0).to_numpy()
@@ -141,7 +162,7 @@ def _intervals(usable: DataFrame, axes: np.ndarray, eps: float) -> DataFrame:
             yield block()
 
     blocks = dealt.repartition("id").sortWithinPartitions("id", "position").select("id", "key", "v")
-    return written(blocks.mapInArrow(cut, "id long, keys binary, rows binary, low array<double>, high array<double>"), "intervals")
+    return written(blocks.mapInArrow(cut, "id long, keys binary, rows binary, n long, first long, low array<double>, high array<double>, centre array<double>, radius double"), "intervals")
 
 
 def _near(a: str, b: str, eps: float):
@@ -150,28 +171,81 @@ def _near(a: str, b: str, eps: float):
     return F.aggregate(gaps, F.lit(0.0), lambda s, g: s + g * g) <= (eps + SLACK) ** 2
 
 
-def _pairs(blocks: DataFrame, eps: float) -> DataFrame:
-    """(a, b), a <= b: the intervals that may hold a link, by a descent from the whole sequence."""
-    levels = [blocks.select("id", "low", "high")]
-    axes, n = range(len(levels[0].first().low)), levels[0].count()
-    while n > 1:
-        up = levels[-1].groupBy(F.floor(F.col("id") / FAN_OUT).alias("id")).agg(F.array(*[F.min(F.col("low")[k]) for k in axes]).alias("low"), F.array(*[F.max(F.col("high")[k]) for k in axes]).alias("high"))
-        levels.append(written(up, "boxes"))
-        n = -(-n // FAN_OUT)
-    pairs = blocks.sparkSession.createDataFrame([(0, 0)], "a long, b long")
-    for boxes in reversed(levels[:-1]):
-        child = boxes.select("id", "low", "high", F.floor(F.col("id") / FAN_OUT).alias("up"))
-        left = pairs.join(child.withColumnsRenamed({"id": "a_id", "low": "a_low", "high": "a_high", "up": "a"}), "a")
-        both = left.join(child.withColumnsRenamed({"id": "b_id", "low": "b_low", "high": "b_high", "up": "b"}), "b").where("a_id <= b_id")
-        pairs = written(both.where(_near("a", "b", eps)).select(F.col("a_id").alias("a"), F.col("b_id").alias("b")), "pairs")
-    return pairs
+def _nodes(below: DataFrame, fan_out: int) -> DataFrame:
+    """The next level: a node for fan_out of the level below, with its rows, box, ball and first key."""
+
+    def one(part: pd.DataFrame) -> pd.DataFrame:
+        part = part.sort_values("id")
+        centres = np.stack(part.centre.to_list())
+        centre = centres.mean(0)
+        radius = (np.sqrt(((centres - centre) ** 2).sum(1)) + part.radius.to_numpy()).max()
+        low, high = np.stack(part.low.to_list()).min(0), np.stack(part.high.to_list()).max(0)
+        return pd.DataFrame([(int(part.id.iloc[0] // fan_out), int(part.n.sum()), int(part["first"].iloc[0]), low.tolist(), high.tolist(), centre.tolist(), float(radius))], columns=NODE)
+
+    # at most fan_out rows of a group
+    return written(below.groupBy(F.floor(F.col("id") / fan_out)).applyInPandas(one, below.schema), "nodes")
+
+
+def _descent(blocks: DataFrame, eps: float, grid: Grid) -> tuple[DataFrame, DataFrame]:
+    """(pairs, settled), by a descent from the whole sequence.
+
+    pairs(a, b), a <= b, are the intervals that may hold a link but whose balls don't say
+    which; settled(level, a, b, n_a, n_b, first_a, first_b) are nodes so near that all of
+    their vectors link, which go no further down.
+    """
+    levels = [blocks.select(*NODE)]
+    while levels[-1].count() > 1:
+        levels.append(_nodes(levels[-1], grid.fan_out))
+    pairs, done = blocks.sparkSession.createDataFrame([(0, 0)], "a long, b long"), None
+    for level in range(len(levels) - 1, -1, -1):
+        sides = [levels[level].select(F.col("id").alias(s), *[F.col(c).alias(f"{s}_{c}") for c in NODE[1:]]) for s in ("a", "b")]
+        both = pairs.join(sides[0], "a").join(sides[1], "b").where(_near("a", "b", eps))
+        far = F.sqrt(F.aggregate(F.zip_with("a_centre", "b_centre", lambda x, y: (x - y) * (x - y)), F.lit(0.0), lambda s, d: s + d))
+        width = F.col("a_radius") + F.col("b_radius")
+        both = both.select("a", "b", "a_n", "b_n", "a_first", "b_first", (far + width < eps - SLACK).alias("all"), (far - width > eps + SLACK).alias("none"))
+        both = written(both.where("all or not none"), "pairs")
+        settled = both.where("all").select(F.lit(level).alias("level"), "a", "b", F.col("a_n").alias("n_a"), F.col("b_n").alias("n_b"), F.col("a_first").alias("first_a"), F.col("b_first").alias("first_b"))
+        done = settled if done is None else done.unionByName(settled)
+        pairs = both.where("not all").select("a", "b")
+        if level:
+            child = levels[level - 1].select(F.col("id").alias("child"), F.floor(F.col("id") / grid.fan_out).alias("up"))
+            left = pairs.join(child.toDF("a_id", "a"), "a").join(child.toDF("b_id", "b"), "b")
+            pairs = left.where("a_id <= b_id").select(F.col("a_id").alias("a"), F.col("b_id").alias("b"))
+    return pairs, done
+
+
+def _of_settled(blocks: DataFrame, settled: DataFrame, grid: Grid) -> DataFrame:
+    """(a, b, n) of the settled nodes: to every vector in them a link count, and one link to the node's first vector."""
+    ends = settled.select("level", F.col("a").alias("node"), F.when(F.col("a") == F.col("b"), F.col("n_a") - 1).otherwise(F.col("n_b")).alias("n"), F.col("first_a").alias("first"))
+    ends = ends.unionByName(settled.where("a <> b").select("level", F.col("b").alias("node"), F.col("n_a").alias("n"), F.col("first_b").alias("first")))
+    nodes = written(ends.groupBy("level", "node").agg(F.sum("n").alias("n"), F.min("first").alias("first")), "settled")
+    levels = sorted(r.level for r in nodes.select("level").distinct().collect())  # one for each level of the tree
+    between = settled.where("a <> b").select(F.col("first_a").alias("a"), F.col("first_b").alias("b"), F.lit(0).cast("long").alias("n"))
+    if not levels:
+        return between
+    inside = None
+    for level in levels:
+        mine = nodes.where(F.col("level") == level).select("node", F.col("n").alias("add"), F.col("first").alias("top"))
+        one = blocks.select("id", "keys", F.floor(F.col("id") / grid.fan_out**level).alias("node")).join(mine, "node").select("keys", "add", "top")
+        inside = one if inside is None else inside.unionByName(one)
+
+    def run(batches) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for held, add, top in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
+                keys = np.frombuffer(held, "<i8")
+                a, n = np.concatenate([keys, keys]), np.concatenate([np.full(len(keys), add), np.zeros(len(keys), np.int64)])
+                b = pa.concat_arrays([pa.nulls(len(keys), pa.int64()), pa.array(np.full(len(keys), top))])
+                yield pa.RecordBatch.from_arrays([pa.array(a), b, pa.array(n)], names=["a", "b", "n"])
+
+    return between.unionByName(inside.mapInArrow(run, "a long, b long, n long"))
 
 
 class _Join:
     """Link counts and a spanning forest of two intervals, or of one with itself."""
 
-    def __init__(self, x: np.ndarray, y: np.ndarray, same: bool, cosine: float, eps: float) -> None:
-        self.x, self.y, self.same, self.cosine, self.eps = x, y, same, cosine, eps
+    def __init__(self, given: tuple[np.ndarray, np.ndarray], axes: np.ndarray, same: bool, cosine: float, eps: float, leaf: int) -> None:
+        self.given, self.same, self.cosine, self.eps, self.leaf = given, same, cosine, eps, leaf
+        x, y = self.x, self.y = [_units(g) @ axes for g in given]
         self.n_x, self.n_y = np.zeros(len(x), np.int64), np.zeros(len(y), np.int64)
         self.up = list(range(len(x) + (0 if same else len(y))))
         self.shift = 0 if same else len(x)
@@ -217,8 +291,8 @@ class _Join:
                 for j in range(c + 1, d):
                     self._link(a, j)
                 return
-        if max(b - a, d - c) > LEAF:
-            m, n = (a + b) // 2 if b - a > LEAF else b, (c + d) // 2 if d - c > LEAF else d
+        if max(b - a, d - c) > self.leaf:
+            m, n = (a + b) // 2 if b - a > self.leaf else b, (c + d) // 2 if d - c > self.leaf else d
             for i, j in ((a, m), (m, b)):
                 for k, e in ((c, n), (n, d)):
                     if i < j and k < e:
@@ -229,7 +303,7 @@ class _Join:
         close = np.abs(cosines - self.cosine) < SLACK
         if close.any():
             for i, j in np.argwhere(close):
-                linked[i, j] = _exact(p[i], q[j]) >= self.cosine
+                linked[i, j] = _exact(self.given[0][a + i], self.given[1][c + j]) >= self.cosine
         if not apart:
             linked = np.triu(linked, 1)
         if linked.any():
@@ -250,19 +324,24 @@ class _Join:
 
 
 def _exact(p: np.ndarray, q: np.ndarray) -> float:
+    """The cosine of two vectors as they are given, but for powers of two."""
+    p, q = (v.astype("f8") / 2.0 ** math.frexp(float(np.abs(v).max()))[1] for v in (p, q))
     return math.fsum(p * q) / math.sqrt(math.fsum(p * p) * math.fsum(q * q))
 
 
-def _joined(blocks: DataFrame, pairs: DataFrame, axes: np.ndarray, kind: str, cosine: float, eps: float) -> DataFrame:
-    """(a, b, n): n links of a where b is null, else a link of the forest."""
+def _joined(blocks: DataFrame, pairs: DataFrame, axes: np.ndarray, kind: str, cosine: float, eps: float, grid: Grid) -> DataFrame:
+    """(a, b, n): n links of a where b is null, else a link of the forest.
+
+    An interval that is near many others is copied for each PAIRS_OF_COPY of these, so that its pairs are spread.
+    """
     shown, size, dtype = blocks.sparkSession.sparkContext.broadcast(axes), len(axes), np.dtype("<f4" if kind == "float" else "<f8")
 
     def run(batches) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for r in range(batch.num_rows):
                 keys = [np.frombuffer(batch.column(k)[r].as_py(), "<i8") for k in (0, 2)]
-                rows = [_units(np.frombuffer(batch.column(k)[r].as_py(), dtype).reshape(-1, size)) @ shown.value for k in (1, 3)]
-                join = _Join(*rows, batch.column(4)[r].as_py(), cosine, eps)
+                given = tuple(np.frombuffer(batch.column(k)[r].as_py(), dtype).reshape(-1, size) for k in (1, 3))
+                join = _Join(given, shown.value, batch.column(4)[r].as_py(), cosine, eps, grid.leaf)
                 join.run()
                 sides = [(keys[0], join.n_x)] + ([] if join.same else [(keys[1], join.n_y)])
                 a = [k[n > 0] for k, n in sides]
@@ -272,12 +351,15 @@ def _joined(blocks: DataFrame, pairs: DataFrame, axes: np.ndarray, kind: str, co
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([*a, keys[0][links[:, 0]]])), ends, pa.array(numbers)], names=["a", "b", "n"])
 
     data = blocks.select("id", "keys", "rows")
-    left = pairs.repartition("a", "b").join(data.withColumnsRenamed({"id": "a", "keys": "a_keys", "rows": "a_rows"}), "a")
-    both = left.join(data.withColumnsRenamed({"id": "b", "keys": "b_keys", "rows": "b_rows"}), "b")
+    both = pairs
+    for side, other in (("a", "b"), ("b", "a")):
+        copies = written(pairs.groupBy(side).agg(F.ceil(F.count("*") / PAIRS_OF_COPY).alias("copies")), "copies")
+        held = data.withColumnsRenamed({"id": side, "keys": f"{side}_keys", "rows": f"{side}_rows"}).join(copies, side).withColumn("copy", F.explode(F.sequence(F.lit(0).cast("long"), F.col("copies") - 1))).drop("copies")
+        both = both.join(copies, side).withColumn("copy", F.pmod(F.xxhash64(other), F.col("copies"))).drop("copies").join(held, [side, "copy"]).drop("copy")
     return both.select("a_keys", "a_rows", "b_keys", "b_rows", (F.col("a") == F.col("b")).alias("same")).mapInArrow(run, "a long, b long, n long")
 
 
-def cosine_links(vectors: DataFrame, key: str = "vec_id", vector: str = "embedding", cosine: float = 0.95) -> DataFrame:
+def cosine_links(vectors: DataFrame, key: str = "vec_id", vector: str = "embedding", cosine: float = 0.95, grid: Grid = Grid()) -> DataFrame:  # noqa: B008  it is frozen
     """(a, b, n) as above, for all vectors."""
     eps = math.sqrt(max(0.0, 2 - 2 * cosine))
     usable = written(_usable(vectors, key, vector), "vectors")
@@ -286,19 +368,19 @@ def cosine_links(vectors: DataFrame, key: str = "vec_id", vector: str = "embeddi
     for size in sorted(r[0] for r in usable.select(F.size("v")).distinct().collect()):
         alike = usable.where(F.size("v") == size)
         axes, kind = _axes(alike, size), usable.schema["v"].dataType.elementType.typeName()
-        blocks = _intervals(alike, axes, eps)
-        pairs = _pairs(blocks, eps)
+        blocks = _intervals(alike, axes, eps, grid)
+        pairs, settled = _descent(blocks, eps, grid)
         with batch_rows(vectors.sparkSession, 4):
-            one = written(_joined(blocks, pairs, axes, kind, cosine, eps), "joined")
+            one = written(_joined(blocks, pairs, axes, kind, cosine, eps, grid).unionByName(_of_settled(blocks, settled, grid)), "joined")
         found = one if found is None else found.unionByName(one)
     if found is None:
         return vectors.sparkSession.createDataFrame([], "a long, b long, n long")
     return found
 
 
-def near_vectors(vectors: DataFrame, key: str = "vec_id", vector: str = "embedding", cosine: float = 0.95) -> DataFrame:
+def near_vectors(vectors: DataFrame, key: str = "vec_id", vector: str = "embedding", cosine: float = 0.95, grid: Grid = Grid()) -> DataFrame:  # noqa: B008  it is frozen
     """(key, n_links, component_id, kept) of every vector."""
-    found = cosine_links(vectors, key, vector, cosine)
+    found = cosine_links(vectors, key, vector, cosine, grid)
     counts = found.where("b is null").groupBy(F.col("a").alias("key")).agg(F.sum("n").alias("n"))
     classes = connected_components(found.where("b is not null").select("a", "b"))
     ids = vectors.select(F.col(f"`{key}`").cast("long").alias("key"))

@@ -36,22 +36,18 @@ def groups(n, size, seed):
 
 
 @pytest.mark.parametrize(("span", "leaf", "kind", "size"), [(4096, 256, "float", 16), (64, 8, "float", 16), (64, 8, "double", 3), (50, 16, "float", 1)])
-def test_links_equal_brute_force(spark, monkeypatch, span, leaf, kind, size):
-    monkeypatch.setattr(vectors, "SPAN", span)
-    monkeypatch.setattr(vectors, "LEAF", leaf)
-    monkeypatch.setattr(vectors, "FAN_OUT", 3)
+def test_links_equal_brute_force(spark, span, leaf, kind, size):
     rows = groups(700, size, span)
     df = spark.createDataFrame(list(enumerate(rows)), f"vec_id long, embedding array<{kind}>").repartition(7)
-    got = {r.vec_id: (r.n_links, r.component_id) for r in vectors.near_vectors(df).collect()}
+    got = {r.vec_id: (r.n_links, r.component_id) for r in vectors.near_vectors(df, grid=vectors.Grid(span, 3, leaf)).collect()}
     assert got == brute(list(range(700)), rows, 0.95)
 
 
-def test_hot_vectors(spark, monkeypatch):
-    monkeypatch.setattr(vectors, "SPAN", 128)
+def test_hot_vectors(spark):
     rows = [[1.0, 0.0, 0.001 * (k % 5)] for k in range(600)] + groups(100, 3, 1)
     df = spark.createDataFrame(list(enumerate(rows)), "vec_id long, embedding array<float>")
     want = brute(list(range(700)), np.array(rows, "f4").astype(float), 0.95)
-    assert {r.vec_id: (r.n_links, r.component_id) for r in vectors.near_vectors(df).collect()} == want
+    assert {r.vec_id: (r.n_links, r.component_id) for r in vectors.near_vectors(df, grid=vectors.Grid(32, 2, 8)).collect()} == want
 
 
 def test_odd_vectors(spark):
