@@ -10,7 +10,7 @@ by themselves, and the ids of frequent ones are kept.
 
 Decoding joins the pieces' bytes, and gives back every text exactly.
 
-Defined results: a null or empty text has no ids; the blank sign itself, in a text, is
+Defined results: a null or empty text has no ids; very long texts are read whole; the blank sign itself, in a text, is
 written as bytes; repeated rows are encoded one by one; an empty table gives an empty
 table; other columns are kept as they are, whatever their names.
 """
@@ -97,14 +97,16 @@ class Codec:
         n = len(segment)
         score, back = [0.0] + [-math.inf] * n, [(1, -1)] * (n + 1)
         strange = [at for at, sign in enumerate(segment) if sign not in self.single]
+        seen = 0
         for end, (length, value, i) in self.automaton.iter(segment):
-            while strange and strange[0] < end:
-                self._unknown(strange.pop(0), score)
+            while seen < len(strange) and strange[seen] < end:
+                self._unknown(strange[seen], score, back)
+                seen += 1
             total = score[end + 1 - length] + value
             if total > score[end + 1]:
                 score[end + 1], back[end + 1] = total, (length, i)
-        for at in strange:
-            self._unknown(at, score)
+        for at in strange[seen:]:
+            self._unknown(at, score, back)
         out, at = [], n
         while at:
             length, i = back[at]
@@ -117,10 +119,10 @@ class Codec:
         out.reverse()
         return out
 
-    def _unknown(self, at: int, score: list[float]) -> None:
+    def _unknown(self, at: int, score: list[float], back: list[tuple[int, int]]) -> None:
         """Relax the end of a character that is no piece, before anything that ends later does."""
         if score[at] + self.unknown > score[at + 1]:
-            score[at + 1] = score[at] + self.unknown
+            score[at + 1], back[at + 1] = score[at] + self.unknown, (1, -1)
 
     def _segments(self, text: str) -> Iterable[str]:
         if BLANK in text:

@@ -115,19 +115,22 @@ def _groups(points: DataFrame) -> DataFrame:
     return written(points.groupBy("digest").agg(F.count("*").alias("n"), F.sum("size").alias("bytes"), *ends), "groups")
 
 
-def _settled(points: DataFrame, groups: DataFrame, heavy: list[tuple[int, int]]) -> DataFrame:
-    """points with one place for each text, and the shard of the heavy ones."""
+def _settled(points: DataFrame, groups: DataFrame, heavy: list[tuple[int, int | None]]) -> DataFrame:
+    """points with one place for each text, the shard of the heavy ones, and whether they are loose: of a group that may be parted."""
     differ = groups.where(" or ".join(f"low_{a} <> high_{a}" for a in AXES[1:])).select("digest", *[f"low_{a}" for a in AXES[1:]])
     one = points.join(differ, "digest", "left").withColumns({a: F.coalesce(f"low_{a}", a) for a in AXES[1:]}).drop(*[f"low_{a}" for a in AXES[1:]])
     if not heavy:
-        return one.withColumn("shard", F.lit(None).cast("int"))
-    return one.join(_table(points, "digest, shard", [(f"{d}L", s) for d, s in heavy]), "digest", "left")
+        return one.withColumns({"shard": F.lit(None).cast("int"), "loose": F.lit(False)})
+    known = _table(points, "digest, shard, loose", [(f"{d}L", "CAST(NULL AS INT)" if s is None else s, s is None) for d, s in heavy])
+    return one.join(known, "digest", "left").withColumn("loose", F.coalesce("loose", F.lit(False)))
 
 
-def _heaviest_first(groups: DataFrame, total: int, shards: int, keep: float) -> tuple[list[tuple[int, int]], list[float]]:
-    """The shards of the heavy points, and the bytes that every shard has room for beside them."""
+def _heaviest_first(groups: DataFrame, total: int, shards: int, keep: float) -> tuple[list[tuple[int, int | None]], list[float]]:
+    """The shards of the heavy points, null for groups that outweigh one, and the bytes that every shard has room for beside them."""
     leaf = total / shards
-    found = groups.where((F.col("bytes") > keep * leaf) & ((F.col("n") == 1) | (F.col("bytes") <= leaf))).select("digest", "bytes").collect()  # at most shards / keep
+    found = groups.where(F.col("bytes") > keep * leaf).select("digest", "bytes", "n").collect()  # at most shards / keep
+    loose = [r.digest for r in found if r.n > 1 and r.bytes > leaf]
+    found = [r for r in found if r.n == 1 or r.bytes <= leaf]
     fills = [(0, s) for s in range(shards)]
     placed = []
     for r in sorted(found, key=lambda r: (-r.bytes, r.digest)):
@@ -144,7 +147,7 @@ def _heaviest_first(groups: DataFrame, total: int, shards: int, keep: float) ->
     room = [0.0] * shards
     for fill, s in fills:
         room[s] = max(0.0, level - fill)
-    return placed, room
+    return [*placed, *((d, None) for d in loose)], room
 
 
 def _grow(points: DataFrame, room: list[float], leaf: float, close: float) -> tuple[DataFrame, Node]:
@@ -169,14 +172,15 @@ def _grow(points: DataFrame, room: list[float], leaf: float, close: float) -> tu
             n.axis = max(range(len(AXES)), key=lambda k: ((r[f"high_{AXES[k]}"] - r[f"low_{AXES[k]}"]) / widths[AXES[k]], -k))
             all_room = sum(n.room)
             n.want = r.bytes * min(1.0, sum(n.room[:half]) / all_room if all_room else half / len(n.room))
-        _refine(points, [n for n in cutting if n.cut is None], leaf, close)
+        _refine(points, [n for n in cutting if n.cut is None], close * leaf)
         cuts = _table(points, "node, axis, cut, lower, upper", [(n.number, n.axis, f"{n.cut}L", *(c.number for c in n.children)) for n in cutting])
         child = F.when(F.col("cut").isNull(), F.col("node")).when(_chosen() < F.col("cut"), F.col("lower")).otherwise(F.col("upper"))
         points = written(points.join(cuts, "node", "left").withColumn("node", child).drop("axis", "cut", "lower", "upper"), "points")
     return points, root
 
 
-def _refine(points: DataFrame, nodes: list[Node], leaf: float, close: float) -> None:
+def _refine(points: DataFrame, nodes: list[Node], close: float) -> None:
+    """Find the cuts of nodes; a cell of at most close bytes isn't looked into."""
     left = AXIS_BITS + GROUP_BITS + ROW_BITS
     for step, bits in enumerate(STEPS, 1):
         if not nodes:
@@ -184,18 +188,18 @@ def _refine(points: DataFrame, nodes: list[Node], leaf: float, close: float) ->
         above, left = left, left - bits
         state = _table(points, "node, axis, prefix, want", [(n.number, n.axis, f"{n.prefix}L", f"{n.want - n.before!r}D") for n in nodes])
         near = points.join(state, "node").withColumn("key", _chosen()).where(F.shiftrightunsigned("key", above) == F.col("prefix"))
-        cells = near.groupBy("node", "want", F.shiftrightunsigned("key", left).alias("cell")).agg(F.sum("size").alias("bytes"))
+        cells = near.groupBy("node", "want", F.shiftrightunsigned("key", left).alias("cell")).agg(F.sum("size").alias("bytes"), F.bool_or("loose").alias("loose"))
         # at most 2**bits cells of each node
         upto = F.sum("bytes").over(Window.partitionBy("node").orderBy("cell").rowsBetween(Window.unboundedPreceding, 0))
         reached = cells.withColumn("upto", upto).where("upto >= want")
-        found = {r.node: r.at for r in reached.groupBy("node").agg(F.min(F.struct("cell", "bytes", "upto")).alias("at")).collect()}
+        found = {r.node: r.at for r in reached.groupBy("node").agg(F.min(F.struct("cell", "bytes", "upto", "loose")).alias("at")).collect()}
         going = []
         for n in nodes:
             at = found[n.number]
             n.before += at.upto - at.bytes
             n.prefix = at.cell
             # a group goes whole to its nearer side, unless it outweighs a shard
-            if at.bytes <= close * leaf or step == len(STEPS) or step == GROUP_STEPS and at.bytes <= leaf:
+            if at.bytes <= close or step == len(STEPS) or step == GROUP_STEPS and not at.loose:
                 n.cut = (at.cell + (n.want - n.before > at.bytes / 2)) << left
             else:
                 going.append(n)

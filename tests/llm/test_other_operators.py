@@ -114,6 +114,53 @@ def test_blocks():
     assert one.path == (("article", ("big", "post", "body")), ("p", ())) and one.linked == 4
 
 
+def parsed_texts(page):
+    """The text of a page by the standard parser, without white space."""
+    from html.parser import HTMLParser
+
+    class Reader(HTMLParser):
+        held, out = 0, ""
+
+        def handle_starttag(self, tag, attrs):
+            self.held += tag in ("script", "style")
+
+        def handle_endtag(self, tag):
+            self.held -= tag in ("script", "style")
+
+        def handle_data(self, data):
+            self.out += "" if self.held else data
+
+    reader = Reader(convert_charrefs=True)
+    reader.feed(page)
+    reader.close()
+    return "".join(reader.out.split())
+
+
+def test_no_text_is_lost_on_broken_pages():
+    r = random.Random(8)
+    parts = ["<p>", "</p>", "<div class=a'b>", "<p title=\"x>y\">", "</div>", "<b id='q'>", "</b>", "<a href=x\"y>", "</a>", "it's", "one", " two ", "&amp;", "&lt;b&gt;", "5 < 6 ", "<br>", "<ul><li>", "</ul>", "<noscript>", "</noscript>", "<math><mi>", "</math>", "<svg>", "</svg>", "<object>", "</object>", "<!-- c -->", "<script>var a='<p>';</script>", "<style>p{}</style>", "<td>", "<tr data-x='1' y>", "é"]
+    for _ in range(600):
+        page = "".join(r.choices(parts, k=r.randint(1, 30)))
+        assert "".join("".join(texts(page)).split()) == parsed_texts(page), page
+
+
+def test_blocks_of_broken_tags():
+    assert texts("<article><p class=a'b>one</p><p>it's two</p><p>three</p></article>") == ["one", "it's two", "three"]
+    assert texts("<p>a <math><mi>x</mi></math><svg><title>no</title><text>y</text></svg><object>o</object> <noscript>n</noscript><textarea>no</textarea></p>") == ["a xyo n"]
+    assert texts("<title>open<p>read on") == ["open", "read on"] and texts("<style>open<p>not read") == [] and texts("a<!-->b<!-- c --!>d") == ["abd"]
+    assert len(texts("<div>x" * 20_000)) == 20_000
+
+
+def test_query_equals_field_by_field(spark):
+    df = spark.read.parquet(f"{SF}/pages.parquet")
+    field = pages.trained_field()
+    want = {}
+    for row in df.collect():
+        found = list(dom.blocks(row.html))
+        want[row.page_id] = "\n".join(b.text for b, s in zip(found, field.decode(found), strict=True) if s)
+    assert {r.page_id: r.text for r in pages.page_digest(df).collect()} == want
+
+
 def test_field_on_new_layouts():
     field, right, total = pages.trained_field(), 0, 0
     for page, states in pages.labelled_pages(150, seed=77):
@@ -165,7 +212,7 @@ def shingle_set(text, words=5):
 def test_pipeline(spark):
     import corpus_pipeline as C
 
-    from paperloom.llm import packing
+    from paperloom.llm import packing, quality, toxicity
     from paperloom.llm.shared import written
 
     docs = spark.read.parquet(f"{SF}/documents.parquet")
@@ -183,6 +230,17 @@ def test_pipeline(spark):
     while (new := np.where(near, label[None, :], label.max() + 1).min(1)).tolist() != label.tolist():
         label = new
     assert ids[2] == set(label.tolist())
+    # toxicity and quality by their models over every row, one by one
+    labels = spark.read.parquet(f"{SF}/labels.parquet")
+    lexicon, net = toxicity.fitted(docs, labels), quality.fitted(docs.where(F.col("doc_id").isin(list(ids[0]))), labels)
+    texts_of = {r.doc_id: r.text for r in docs.select("doc_id", "text").collect()}
+    density = {d: toxicity.density(t, lexicon.automaton())[0] for d, t in texts_of.items()}
+    assert ids[0] == {d for d, x in density.items() if x / (x + lexicon.limit) < 0.5}
+    import pyarrow as pa
+
+    kept = sorted(ids[0])
+    good = quality.probabilities(net, pa.array([texts_of[d] for d in kept])) >= quality.LEAST_GOOD
+    assert ids[1] == {d for d, g in zip(kept, good.tolist(), strict=True) if g}
     rows = C.run(spark, SF).collect()
     assert {r.doc_id for r in rows} == ids[2] and all(r.length <= packing.SEQUENCE for r in rows)
     assert C.ORACLE_SQL is None

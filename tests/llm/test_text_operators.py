@@ -82,9 +82,67 @@ def test_learns_words_and_stems_and_not_held_out_rows(spark):
     assert all(x.held_out == (zlib.crc32(str(x.doc_id).encode()) % 5 == 0) for x in out)
 
 
+def plain_hits(folded, lexicon):
+    """Spans of the lexicon's forms, looked for one by one at every place."""
+    forms = {}
+    for kind, entries in (("word", lexicon.words), ("stem", lexicon.stems)):
+        for w, weight in entries.items():
+            for form in {toxicity.fold(w), toxicity.fold(w).replace("l", "i")}:
+                forms.setdefault(form, (kind, weight))
+    for phrase in lexicon.exceptions:
+        forms[toxicity.fold(phrase)] = ("exception", 0.0)
+    found, safe = [], []
+    for at in range(len(folded)):
+        if at and folded[at - 1].isalpha():
+            continue
+        for form, (kind, weight) in forms.items():
+            end = at + len(form)
+            if folded.startswith(form, at) and (kind == "stem" or end >= len(folded) or not folded[end].isalpha()):
+                (safe if kind == "exception" else found).append((at, end, weight))
+    best = {}
+    for at, end, weight in found:
+        best[at] = max(best.get(at, (-1.0, 0)), (weight, end))
+    return sorted((at, end, w) for at, (w, end) in best.items() if not any(a <= at and end <= b for a, b, _ in safe))
+
+
+def test_toxic_hits_equal_a_naive_matcher(spark):
+    r, lex = random.Random(4), lexicon()
+    parts = [*toxicity.SEED_WORDS, *toxicity.EXCEPTIONS, "loweix", "lowei", "trash", "can", "1d10t", "$cum", "a", "и", "idi", "ot", "-", " ", " ", ".", "2", "Clown", "fish"]
+    texts = ["".join(r.choices(parts, k=r.randint(1, 25))) for _ in range(400)] + ["x" + "idiot" * 3, "trash can trash", "sore loser loser"]
+    machine = lex.automaton()
+    for text in texts:
+        folded = toxicity.fold(text)
+        assert list(toxicity.hits(folded, machine)) == plain_hits(folded, lex)
+    docs = spark.createDataFrame([(k, t, "keep") for k, t in enumerate(texts)], "doc_id long, text string, note string")
+    for x in toxicity.score_toxicity(docs, lex).collect():
+        spans = plain_hits(toxicity.fold(texts[x.doc_id]), lex)
+        d = sum(w for *_, w in spans) / max(1, len(texts[x.doc_id].split()))
+        assert x.toxic_hits == len(spans) and x.toxicity == pytest.approx(d / (d + lex.limit)) and x.note == "keep"
+
+
+def test_toxicity_of_very_long_texts_takes_linear_time():
+    import time
+
+    machine, began = lexicon().automaton(), time.perf_counter()
+    assert toxicity.density("a" * 1_000_000 + " $", machine) == (0.0, 0) and toxicity.density("trash can " * 100_000, machine) == (0.0, 0)
+    assert time.perf_counter() - began < 10
+
+
 # Quality
 
 
+def test_quality_scores_equal_plain_sums(spark):
+    net, r = quality.Network.fresh(), random.Random(3)
+    texts = [None, "", "a", "some words here", "é" * 50, *("".join(r.choices("abc xyz.", k=r.randint(1, 900))) for _ in range(30))]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for x in quality.score_quality(docs, net).collect():
+        raw = (texts[x.doc_id] or "").encode()
+        chunks = [raw[k : k + quality.WIDTH].ljust(quality.WIDTH, b"\0") for k in range(0, max(1, len(raw)), quality.STRIDE)]
+        best = np.max([sum(net.embed[c[w]].astype(float) @ net.filters[w] for w in range(quality.WIDTH)) for c in chunks], axis=0)
+        want = 1 / (1 + math.exp(-(np.maximum(best + net.bias, 0) @ net.out + net.prior)))
+        assert x.quality_score == pytest.approx(want, abs=1e-4)
+
+
 def test_pooling_in_pieces_is_that_of_whole_texts(monkeypatch):
     net, r = quality.Network.fresh(), np.random.default_rng(0)
     texts = [r.integers(1, 255, n).astype(np.uint8) for n in (0, 1, 3, 4, 5, 8, 100, 5000, 64, 63)]
@@ -205,22 +263,45 @@ def test_fast_and_plain_tokens_agree():
         assert np.frombuffer(encoder.encode(text), "<u4").tolist() == tokenizer.encode(text, add_special_tokens=False).ids
 
 
-def test_best_fit_and_carried_bins(spark, monkeypatch):
+def plain_best_fit(lengths, capacity):
+    """Longest first, each into the fullest bin that has room."""
+    fills = []
+    for size in sorted(lengths, reverse=True):
+        rooms = [(capacity - f, b) for b, f in enumerate(fills) if f + size <= capacity]
+        if rooms:
+            fills[min(rooms)[1]] += size
+        else:
+            fills.append(size)
+    return sorted(fills)
+
+
+def test_best_fit_equals_plain_best_fit(spark):
     r = random.Random(6)
-    lengths = np.array([r.randint(1, 100) for _ in range(500)])
-    where, offset, fills = packing.best_fit(lengths, 100)
-    assert fills.max() <= 100 and fills.sum() == lengths.sum() and len(fills) <= lengths.sum() / 100 * 1.1 + 1
-    for b in range(len(fills)):
-        mine = np.flatnonzero(where == b)
-        order = mine[np.argsort(offset[mine])]
-        assert (offset[order] == np.concatenate([[0], np.cumsum(lengths[order])[:-1]])).all()
-    # texts of a little over half a sequence: nothing merges, many bins are handed on, none is lost
-    monkeypatch.setattr(packing, "CARRIED", 3)
+    for capacity in (10, 100):
+        lengths = np.array([r.randint(1, capacity) for _ in range(500)])
+        where, offset, fills = packing.best_fit(lengths, capacity)
+        assert sorted(fills.tolist()) == plain_best_fit(lengths.tolist(), capacity)
+        for b in range(len(fills)):
+            mine = np.flatnonzero(where == b)
+            order = mine[np.argsort(offset[mine])]
+            assert (offset[order] == np.concatenate([[0], np.cumsum(lengths[order])[:-1]])).all()
+    # texts of a little over half a sequence: nothing merges, and no bin is lost between partitions
     docs = spark.createDataFrame([(k, "a " * (1100 + k)) for k in range(60)], "doc_id long, text string").repartition(20)
     rows = packing.pack_documents(docs, public_tokenizers.path("word_bpe_49k.json")).collect()
     assert len(rows) == 60 and len(packed_rows(rows)) == 60
 
 
+def test_sequences_are_as_few_as_plain_best_fit_has(spark):
+    # no bin of a partition is nearly full by itself, so all pieces meet, and the result is that of one best fit over all
+    r = random.Random(8)
+    texts = [(k, "a " * r.choice([300, 500, 700, 900, 1100, 1300])) for k in range(400)]
+    docs = spark.createDataFrame(texts, "doc_id long, text string").repartition(40)
+    rows = packing.pack_documents(docs, public_tokenizers.path("word_bpe_49k.json")).collect()
+    whole = packed_rows(rows)
+    want = plain_best_fit([len(t.split()) + 1 for _, t in texts], packing.SEQUENCE)
+    assert abs(len(whole) - len(want)) <= 1 and sum(size for parts in whole.values() for _, size in parts) == sum(want)
+
+
 def test_all_underfull_bins_meet(spark):
     # one partition has long texts only, the other short ones only, and each has far more bins than a window's share
     texts = [(k, "a " * (1050 + k % 150)) for k in range(5500)] + [(k, "a " * (800 + k % 40)) for k in range(5500, 11_000)]
@@ -264,12 +345,96 @@ def test_shards(spark):
     assert all(len(g) == 1 for g in groups.values())
 
 
-def test_hot_group_is_parted(spark):
-    docs = spark.createDataFrame([(k, "copy of one text") for k in range(300)] + [(k, f"text {k} " * (k % 7)) for k in range(300, 600)], "doc_id long, text string")
-    sizes = collections.Counter()
-    for r in shards.shard_documents(docs, 10).collect():
-        sizes[r.shard] += r.size
+def plain_shards(rows, n, keep):
+    """shard of every doc_id of rows(doc_id, text, lang, source), by whole sorts instead of histograms."""
+    digest = lambda x: xxhash.xxh64_intdigest(x, 42)
+    place = lambda v: 0 if v is None else digest(v.encode()) >> 44
+    size, points = {}, []
+    texts = collections.defaultdict(list)
+    for d, t, lang, source in rows:
+        size[d] = len(t.encode()) + 16
+        texts[t].append((d, place(source), place(lang)))
+    leaf = sum(size.values()) / n
+    out, fills, heavy = {}, [[0, s] for s in range(n)], []
+    for t, held in texts.items():
+        total, dig = sum(size[d] for d, *_ in held), digest(t.encode())
+        if total > keep * leaf and (len(held) == 1 or total <= leaf):
+            heavy.append((-total, dig - (1 << 64) if dig >> 63 else dig, held))
+            continue
+        chars = math.floor(math.log2(len(t) + 1) / 32 * ((1 << 20) - 1))
+        axes = (chars, min(p for _, p, _ in held), min(p for *_, p in held))
+        for d, *_ in held:
+            row = digest(d.to_bytes(8, "little")) & ((1 << 22) - 1)
+            points.append((d, size[d], axes, ((dig >> 44) << 22) + row, total > leaf))
+    for total, _, held in sorted(heavy, key=lambda h: h[:2]):
+        best = min(fills)
+        best[0] -= total
+        out.update({d: best[1] for d, *_ in held})
+    left, level = sum(p[1] for p in points), 0.0
+    for k, (fill, _) in enumerate(sorted(fills), 1):
+        if k > 1 and fill >= level:
+            break
+        left += fill
+        level = left / k
+    room = [max(0.0, level - fill) for fill, _ in fills]
+    widths = [max(1, max(p[2][k] for p in points) - min(p[2][k] for p in points)) for k in range(3)]
+
+    def grow(mine, first, room):
+        if len(room) == 1:
+            out.update({p[0]: first for p in mine})
+            return
+        half, cut, axis = len(room) // 2, 0, 0
+        if mine:
+            spread = [(max(p[2][k] for p in mine) - min(p[2][k] for p in mine)) / widths[k] for k in range(3)]
+            axis = spread.index(max(spread))
+            want = sum(p[1] for p in mine) * min(1.0, sum(room[:half]) / sum(room) if sum(room) else half / len(room))
+            cut = cut_of(mine, axis, want)
+        low = [p for p in mine if (p[2][axis] << 42) + p[3] < cut]
+        high = [p for p in mine if (p[2][axis] << 42) + p[3] >= cut]
+        grow(low, first, room[:half])
+        grow(high, first + half, room[half:])
+
+    def cut_of(mine, axis, want):
+        for bits in (22, 0):
+            cells, loose = collections.Counter(), set()
+            for p in mine:
+                cells[((p[2][axis] << 42) + p[3]) >> bits] += p[1]
+                if p[4]:
+                    loose.add(((p[2][axis] << 42) + p[3]) >> bits)
+            before = 0
+            for cell in sorted(cells):
+                if before + cells[cell] >= want:
+                    break
+                before += cells[cell]
+            if cell not in loose or bits == 0:
+                return (cell + (want - before > cells[cell] / 2)) << bits
+
+    grow(points, 0, room)
+    return out
+
+
+@pytest.mark.parametrize(("n", "keep"), [(7, 0.05), (40, 0.3)])
+def test_shards_equal_whole_sorts(spark, n, keep):
+    r = random.Random(n)
+    rows = []
+    for k in range(600):
+        text = r.choice(["one text that many share", f"text {k} " * r.randint(1, 60), "x" * r.randint(1, 3000)])
+        rows.append((k, text, r.choice(["en", "de", None]), r.choice(["web", "web", "web", f"s{k % 20}"])))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string").repartition(6)
+    got = {x.doc_id: x.shard for x in shards.shard_documents(docs, n, keep, close=0.0).collect()}
+    assert got == plain_shards(rows, n, keep)
+
+
+def test_only_groups_over_a_shard_are_parted(spark):
+    # a group of 0.9 of a shard stays whole, one of three shards is parted
+    rows = [(k, "copy of one text") for k in range(300)] + [(k, "b" * 84) for k in range(300, 327)] + [(k, f"text {k} " * 10) for k in range(327, 600)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    sizes, groups = collections.Counter(), collections.defaultdict(set)
+    for x in shards.shard_documents(docs, 10).collect():
+        sizes[x.shard] += x.size
+        groups[rows[x.doc_id][1]].add(x.shard)
     assert len(sizes) == 10 and max(sizes.values()) < 1.1 * min(sizes.values())
+    assert len(groups["b" * 84]) == 1 and len(groups["copy of one text"]) > 2
 
 
 # Search
@@ -313,7 +478,7 @@ def test_fingerprints():
         assert simhash.fingerprint(None if text is None else text.encode(), 3) == plain_print(text, 3)
 
 
-@pytest.mark.parametrize(("most", "bucket"), [(2, 4096), (2, 4), (6, 4096), (6, 8)])
+@pytest.mark.parametrize(("most", "bucket"), [(2, 4096), (2, 16), (6, 4096), (6, 64)])
 def test_links_equal_brute_force(spark, most, bucket):
     r = random.Random(most * bucket)
     prints = set()
@@ -414,9 +579,49 @@ def test_rows_with_one_id_go_by_their_own_text(spark):
         assert sorted(((r.doc_id, r.text) for r in kept.collect()), key=str) == sorted([(1, one), (2, two), (3, "v w x y z"), (None, three)], key=str)
 
 
+def test_a_hot_bucket_becomes_one_component(spark):
+    # two clusters in one bucket, of which a few links alone connect some stragglers
+    r, near = random.Random(2), 0x0123456789ABCDEF
+    prints = {near ^ sum({1 << r.randrange(64) for _ in range(r.randint(0, 2))}) for _ in range(900)}
+    prints |= {near ^ (0xFFFF << 40) ^ (1 << k) for k in range(30)} | {near ^ (0xFF << 50)}
+    a = np.array(sorted(prints), np.uint64)
+    label = np.arange(len(a))
+    close = np.bitwise_count(a[:, None] ^ a[None, :]) <= 2
+    while (new := np.where(close, label[None, :], len(a)).min(1)).tolist() != label.tolist():
+        label = new
+    df = spark.createDataFrame([(int(x),) for x in a.view(np.int64)], "fp long")
+    found = {x.id: x.component for x in connected_components(simhash.fingerprint_links(df, 2, bucket=32)).collect()}
+    got = collections.defaultdict(set)
+    for x in a.view(np.int64).tolist():
+        got[found.get(x, x)].add(x)
+    want = collections.defaultdict(set)
+    for x, c in zip(a.view(np.int64).tolist(), label.tolist(), strict=True):
+        want[c].add(x)
+    assert sorted(map(sorted, got.values())) == sorted(map(sorted, want.values()))
+
+
 # Odd tables
 
 
+HIDDEN = ("score", "hits", "_score", "__quality", "__toxicity", "__toxic_hits", "__text", "__html", "bucket", "bit", "bits", "__bucket", "__bit", "whole")
+
+
+def test_hidden_names_are_not_taken(spark, labels):
+    rows = [(k, f"some words number {k} of a text", *(f"{c}{k}" for c in HIDDEN)) for k in range(20)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, " + ", ".join(f"`{c}` string" for c in HIDDEN))
+    want = {r[0]: r[1:] for r in rows}
+    for out in (toxicity.drop_toxic(docs, labels), quality.keep_good(docs, labels), simhash.one_of_each(docs), alike.one_of_each(docs)):
+        assert out.columns == docs.columns and all(tuple(r)[1:] == want[r.doc_id] for r in out.collect())
+    with_prints = simhash.with_fingerprints(docs, 3)
+    assert with_prints.columns == [*docs.columns, "fingerprint"] and all(tuple(r)[1:-1] == want[r.doc_id] for r in with_prints.collect())
+
+
+def test_rows_without_an_id_still_link(spark):
+    # a and c differ in two bits or fewer from the row without an id, and not from each other
+    found = simhash.near_duplicates(spark.createDataFrame([(5, "a b c"), (None, "a b c"), (None, "x y z"), (9, None)], "doc_id long, text string"), 3, 2).collect()
+    assert sorted(((r.doc_id, r.component) for r in found), key=str) == sorted([(5, 5), (None, 5), (None, None), (9, 9)], key=str)
+
+
 def test_odd_rows(spark, odd, labels):
     n = len(ODD)
     model = public_tokenizers.path("piece_bpe_32k.model")
