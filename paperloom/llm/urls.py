@@ -4,8 +4,9 @@ A host's labels, reversed and each closed by a separator, make a canonical key i
 rule's host and all its subdomains are one interval of keys. Rules and urls are dealt to
 ranges of keys; a rule goes to every range that its interval meets, so that neither side is
 broadcast and any number of rules will do. In a range both are sorted, and one sweep keeps
-the stack of the rules whose intervals are open: nested, since key intervals are. The path
-is tested against the stack's rules; the longest rule wins.
+the stack of the rules whose intervals are open: nested, since key intervals are. Of each open
+host the path finds its rule by lookups, one for each length that the host's rules have, so
+their number doesn't matter; the longest rule wins.
 
 Verdict: that of the winning rule; without one, `allow`.
 
@@ -63,6 +64,26 @@ def _ranges(urls: DataFrame, ranges: int) -> list[tuple[str, int]]:
     return sorted({keys[k * len(keys) // ranges] for k in range(1, ranges)}) if keys else []
 
 
+class _Open:
+    """The rules of one host whose interval is open, by path; a url looks up its path's beginnings of the lengths that they have."""
+
+    def __init__(self, key: str) -> None:
+        self.key, self.rules, self.lengths = key, {}, []
+
+    def add(self, rule: tuple) -> None:
+        path = rule[4]
+        if len(path) not in self.lengths:
+            bisect.insort(self.lengths, len(path))
+        self.rules[path] = min(rule, self.rules.get(path, rule))
+
+    def longest(self, path: str) -> tuple | None:
+        """The rule with the longest path that begins this one; the host is the same for all."""
+        for n in reversed(self.lengths[: bisect.bisect_right(self.lengths, len(path))]):
+            if found := self.rules.get(path[:n]):
+                return found
+        return None
+
+
 def judge_urls(urls: DataFrame, rules: DataFrame, key: str = "page_id", url: str = "url", default: str = DEFAULT, ranges: int | None = None) -> DataFrame:
     """(key, host, path, rule, verdict) of every row; rules has ord, host, path and verdict."""
     spark = urls.sparkSession
@@ -97,21 +118,21 @@ def judge_urls(urls: DataFrame, rules: DataFrame, key: str = "page_id", url: str
     right = placed.select("range", "key", F.lit(1).alias("side"), F.lit(0).alias("ord"), "id", "host", "path", F.lit(None).cast("string").alias("verdict"))
 
     def sweep(batches) -> Iterator[pa.RecordBatch]:
-        stack: list[tuple[str, list[tuple]]] = []
+        stack: list[_Open] = []
         now = None
         for batch in batches:
             ids, hosts, paths, named, verdicts = [], [], [], [], []
             for k, at, side, order, number, host, path, verdict in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 if k != now:
                     now, stack = k, []
-                while stack and not at.startswith(stack[-1][0]):
+                while stack and not at.startswith(stack[-1].key):
                     stack.pop()
                 if side == 0:
-                    if not stack or stack[-1][0] != at:
-                        stack.append((at, []))
-                    stack[-1][1].append((-len(host) - len(path), host, verdict, order, path))
+                    if not stack or stack[-1].key != at:
+                        stack.append(_Open(at))
+                    stack[-1].add((-len(host) - len(path), host, verdict, order, path))
                     continue
-                fits = min((r for _, rules in stack for r in rules if host and path.startswith(r[4])), default=None)
+                fits = min((r for rules in stack if host and (r := rules.longest(path))), default=None)
                 ids.append(number)
                 hosts.append(host)
                 paths.append(path)
