@@ -85,3 +85,33 @@ def decided(documents: DataFrame, fields: DataFrame, errors: DataFrame, leaves:
     flagged = F.coalesce("flagged_fields", F.array().cast("array<string>"))
     out = out.withColumns({"flagged_fields": flagged, "n_errors": F.coalesce("n_errors", F.lit(0)), "critical": F.coalesce("critical", F.lit(False)), "overall": capped(mean, fallback)})
     return out.withColumn("review_required", review_required(F.col("form_type") == "other", F.col("critical"), F.size("flagged_fields") > 0, F.col("overall"), fallback)).drop("mean_confidence", "leaf_overall")
+
+
+def decided_at_once(fields: DataFrame, key: str = "doc_id") -> DataFrame:
+    """What decided gives, from fields that have their errors beside them, in one grouping by document.
+
+    fields(key, form_type, processing_path, pos, field_key, data_type, confidence, errors):
+    errors are structs with error_type, severity and field_ref, and may refer to any field of
+    the document. Where fields are dealt by document already, nothing is shuffled.
+    """
+    one = F.struct("pos", "field_key", "data_type", "confidence")
+    docs = fields.groupBy(key, "form_type", "processing_path").agg(F.array_sort(F.collect_list(one)).alias("__fields"), F.flatten(F.collect_list("errors")).alias("__errors"))
+    fallback = F.col("processing_path") == "fallback"
+    charges = F.flatten(F.transform("__errors", lambda e: F.transform(penalty_keys(e["field_ref"]), lambda k: F.struct(k.alias("field_key"), penalty_of(e["error_type"]).alias("penalty")))))
+    docs = docs.withColumn("__charges", charges)
+
+    def charged(f: Column) -> Column:
+        mine = F.filter("__charges", lambda c: c["field_key"] == f["field_key"])
+        penalty = F.round(F.aggregate(mine, F.lit(0.0), lambda s, c: s + c["penalty"]), 4)
+        less = F.greatest(F.lit(0.0), f["confidence"] - penalty)
+        least = least_confidence(f["data_type"]) + F.when(fallback, FALLBACK_EXTRA).otherwise(0.0)
+        return F.struct(f["field_key"].alias("field_key"), F.round(less, 4).cast("decimal(10,4)").alias("confidence"), (less < least).alias("is_flagged"))
+
+    docs = docs.withColumn("__done", F.transform("__fields", charged))
+    total = F.aggregate("__done", F.lit(0).cast("decimal(20,4)"), lambda s, f: (s + f["confidence"]).cast("decimal(20,4)"))
+    mean = (total.cast("decimal(24,8)") / F.size("__done")).cast("double")
+    docs = docs.select(
+        key, "form_type", "processing_path", F.transform(F.filter("__done", lambda f: f["is_flagged"]), lambda f: f["field_key"]).alias("flagged_fields"),
+        F.size("__errors").cast("long").alias("n_errors"), F.exists("__errors", lambda e: e["severity"] == "critical").alias("critical"), capped(mean, fallback).alias("overall"),
+    )
+    return docs.withColumn("review_required", review_required(F.col("form_type") == "other", F.col("critical"), F.size("flagged_fields") > 0, F.col("overall"), fallback))

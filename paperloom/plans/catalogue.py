@@ -110,14 +110,19 @@ LINE_RULES = (
 _LINE_COLUMNS = {"price": "l_extendedprice", "quantity": "l_quantity", "returnflag": "l_returnflag"}
 
 
-def _line_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(doc_id, field_key, rule_id, error_type, severity, field_ref) of the fields of orders."""
-    orders = _table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("doc_id"), "o_orderdate", "o_orderpriority")
+def _ruled_fields(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, rules.Getter]:
+    """Fields with what the rules read of their order, and how they read it."""
+    orders = _table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("doc_id"), "o_orderdate", "o_orderpriority", "o_orderstatus")
     joined = _fields(spark, sf_dir).join(orders, "doc_id")
-    get = rules.columns_getter({k: F.col(v) for k, v in _LINE_COLUMNS.items()} | {
+    return joined, rules.columns_getter({k: F.col(v) for k, v in _LINE_COLUMNS.items()} | {
         "unit": F.lit(3000), "ordered": F.date_format("o_orderdate", "yyyy-MM-dd"), "shipped": F.date_format("l_shipdate", "yyyy-MM-dd"),
         "priority": F.when(F.col("o_orderpriority") == "4-NOT SPECIFIED", " ").otherwise(F.col("o_orderpriority")),
     })
+
+
+def _line_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(doc_id, field_key, rule_id, error_type, severity, field_ref) of the fields of orders."""
+    joined, get = _ruled_fields(spark, sf_dir)
     found = rules.failures(joined, LINE_RULES, get, "doc_id", "field_key")
     # an error of a line refers to that line
     return found.select("doc_id", "field_key", "rule_id", "error_type", "severity", F.col("field_key").alias("field_ref"))
@@ -156,12 +161,12 @@ FROM docs d LEFT JOIN counts c ON d.doc_id = c.doc_id"""
 )
 def review_decision(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rules, penalties, confidence, decision, status and reason of every order with lines, end to end."""
-    fields = _fields(spark, sf_dir).select("doc_id", "pos", "field_key", "data_type", "confidence")
-    orders = _table(spark, sf_dir, "orders")
-    path = F.when(F.col("o_orderpriority") == "5-LOW", "fallback").otherwise("vlm")
-    documents = orders.select(F.col("o_orderkey").alias("doc_id"), path.alias("processing_path"), F.when(F.col("o_orderstatus") == "P", "other").otherwise("bid").alias("form_type"))
-    documents = documents.join(fields.select("doc_id").distinct(), "doc_id", "left_semi")
-    done = score.decided(documents, fields, _line_errors(spark, sf_dir))
+    joined, get = _ruled_fields(spark, sf_dir)
+    path, form = F.when(F.col("o_orderpriority") == "5-LOW", "fallback").otherwise("vlm"), F.when(F.col("o_orderstatus") == "P", "other").otherwise("bid")
+    # an error of a line refers to that line
+    errors = F.transform(rules.failed_rules(LINE_RULES, get), lambda k: rules.described(LINE_RULES, k).withField("field_ref", F.col("field_key")))
+    fields = joined.select("doc_id", "pos", "field_key", "data_type", "confidence", path.alias("processing_path"), form.alias("form_type"), errors.alias("errors"))
+    done = score.decided_at_once(fields)
     fallback, n_flagged = F.col("processing_path") == "fallback", F.size("flagged_fields")
     reason_ = route.review_reason(fallback, n_flagged > 0)
     return done.select("doc_id", F.round(F.col("overall") + 1e-9, 3).alias("overall"), n_flagged.cast("long").alias("n_flagged"), "n_errors", "review_required", route.final_status(F.col("form_type") == "other", F.col("review_required"), fallback).alias("status"), reason_.alias("reason"), route.review_priority(F.col("critical"), reason_).alias("priority"))

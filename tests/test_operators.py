@@ -77,6 +77,23 @@ def test_decision(spark):
     assert got == {"a": (0.95, [], False), "b": (0.7, ["x"], True), "c": (0.1, ["x"], False), "d": (0.85, ["x"], True)}
 
 
+def test_deciding_at_once_equals_deciding_by_joins(spark):
+    r = random.Random(5)
+    documents = [(d, r.choice(["bid", "other"]), r.choice(["vlm", "fallback"])) for d in range(40)]
+    fields, errors = [], []
+    for d, *_ in documents:
+        for k in range(r.randint(1, 5)):
+            held = [(r.choice(["arithmetic", "format", "odd"]), r.choice(["low", "critical"]), r.choice(["f0", "f1", "a.f1,f2", "items[0].f0"])) for _ in range(r.randint(0, 2))]
+            fields.append((d, k, f"f{k}", r.choice(["text", "amount", "date"]), round(r.random(), 3), held))
+            errors += [(d, *e) for e in held]
+    docs = spark.createDataFrame(documents, "doc_id int, form_type string, processing_path string")
+    whole = spark.createDataFrame(fields, "doc_id int, pos int, field_key string, data_type string, confidence double, errors array<struct<error_type:string,severity:string,field_ref:string>>")
+    want = score.decided(docs, whole.drop("errors"), spark.createDataFrame(errors, "doc_id int, error_type string, severity string, field_ref string"))
+    got = score.decided_at_once(whole.join(docs, "doc_id"))
+    rows = lambda df: {x.doc_id: (x.flagged_fields, x.n_errors, x.critical, round(x.overall, 6), x.review_required) for x in df.collect()}
+    assert rows(got) == rows(want) and len(rows(got)) == 40
+
+
 def test_leaf_confidences(spark):
     leaves = spark.createDataFrame([("d", "a.b_date", "x", None), ("d", "items[0]", "O", 0.8), ("d", "total", "1", None)], "doc_id string, path string, value string, stated double")
     fields = spark.createDataFrame([("d", 0, "total", 0.9), ("d", 1, "b_date", 0.7)], "doc_id string, pos int, field_key string, confidence double")
