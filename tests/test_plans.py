@@ -5,8 +5,10 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from paperloom.operators import assemble, reason
+from paperloom.operators import assemble, evals, reason
 from paperloom.plans import documents as P
+from paperloom.plans import steps
+from paperloom.sources import readers
 
 RULES = {"bid": [{"rule_id": "addr", "type": "ADDR_CONTAINS", "field_value": "applicant.address", "field_contained": "applicant.business_location", "severity": "low"}, {"rule_id": "sub", "type": "NOT_EMPTY", "field": "submission.submitter_name", "severity": "medium"}]}
 KEYS = [{"field_key": "business_reg_number", "pattern": r"\d{3}-\d{2}-\d{5}$", "severity": "medium"}]
@@ -72,3 +74,39 @@ def test_small_ones(spark):
     regions = spark.createDataFrame([("s", "k", 1), ("s", None, 2), ("free", None, 3)], "schema_id string, field_key string, n int")
     known = spark.createDataFrame([("s",)], "schema_id string")
     assert {r.n for r in P.keyed_regions(regions, known).collect()} == {1, 3}
+
+
+def test_steps_keep_times_warnings_and_errors():
+    run = steps.Steps()
+
+    class Output:
+        warnings = ("few regions", "few regions")
+
+    assert run.run("P2", Output, "low resolution").warnings and run.run("P3", lambda: 1 // 0) is None
+    assert run.warnings == ["[P2] low resolution", "[P2] few regions"] and run.errors[0].startswith("[P3] ZeroDivisionError") and set(run.timings) == {"P2", "P3"}
+
+
+def test_rule_and_pattern_files(spark, tmp_path):
+    pytest.importorskip("yaml")
+    (tmp_path / "bid.yaml").write_text("rules:\n- {rule_id: r1, type: NOT_EMPTY, field: a}\n")
+    (tmp_path / "common.yaml").write_text("field_type_patterns:\n- {data_type: amount, pattern: '^\\d+$'}\nfield_key_patterns:\n- {field_key: nsn, pattern: x}\n")
+    (tmp_path / "empty.yaml").write_text("other: 1\n")
+    assert readers.rule_files(spark, {"bid": str(tmp_path / "bid.yaml"), "none": str(tmp_path / "empty.yaml")}) == {"bid": [{"rule_id": "r1", "type": "NOT_EMPTY", "field": "a"}], "none": []}
+    kinds, keys = readers.pattern_file(spark, str(tmp_path / "common.yaml"))
+    assert kinds[0]["data_type"] == "amount" and keys[0]["field_key"] == "nsn" and readers.pattern_file(spark, str(tmp_path / "empty.yaml")) == ([], [])
+
+
+def test_sub_schemas():
+    schema = {"properties": {"a": {"type": "object", "properties": {"b": {"type": "string"}}}, "n": {"type": "integer"}, "checklist_items": {"items": {"type": "object", "properties": {"result": {}}}}}, "x-assembly-rules": {"f": "a.b", "g": "n"}}
+    assert readers.sub_schema(schema, "f") == {"type": "object", "properties": {"b": {"type": "string"}}, "required": ["b"]}
+    assert readers.sub_schema(schema, "g") == {"type": "integer"} and readers.sub_schema(schema, "unknown") == schema
+    assert readers.sub_schema(schema, "result_item_2")["properties"]["item_number"] == {"type": "integer", "const": 2}
+
+
+def test_evaluation_of_a_trial(spark):
+    columns = "doc_id string, overall_confidence double, validation_error_count int, review_queued boolean"
+    before = spark.createDataFrame([("a", 0.5, 2, True), ("gone", 0.1, 1, True)], columns)
+    after = spark.createDataFrame([("a", 0.75, 1, False), ("new", 0.25, 0, True)], columns)
+    rows, means, verdict = evals.evaluated(after, before)
+    assert {(r.doc_id, r.metric): r.sign for r in rows.collect()}[("a", "overall_confidence")] == "positive" and {r.doc_id for r in rows.collect()} == {"a", "new"}
+    assert means.first().overall_confidence == 0.5 and verdict.first().verdict == "IMPROVED"
