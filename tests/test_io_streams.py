@@ -113,3 +113,42 @@ def test_images(spark):
     cy, cx, radius = images.red_circle(rgb)
     assert abs(cy - 50) < 2 and abs(cx - 40) < 2 and abs(radius - 21) < 2
     assert images.unwrapped_seal(rgb[..., 0], cy, cx, radius).shape == (64, 256)
+
+
+def test_picture_steps():
+    r = np.random.default_rng(1)
+    dark, bright = r.integers(0, 60, (64, 64)).astype(float), r.integers(215, 255, (64, 64)).astype(float)
+    assert images.brightened(dark).mean() > dark.mean() + 20 and np.ptp(images.brightened(bright)) > np.ptp(bright) and images.brightened(dark + 100) is not None
+    flat = np.full((40, 40), 100.0)
+    flat[20, 20] = 255
+    assert images.denoised(flat).max() == 100 and images.opened(flat, 3).max() == 100 and images.opened(flat, 1) is flat
+    page = np.full((120, 160), 255.0)
+    y, x = np.mgrid[:120, :160]
+    page[np.abs((y - 60) - (x - 80) * np.tan(np.radians(5))) < 2] = 0
+    level = images.rotated(page, 5.0)
+    assert (level[58:63, 30:130] < 128).any(0).all() and (level[:50] > 200).all() and images.rotated(page, 0.1) is page
+    corners = np.array([[20, 15], [140, 15], [140, 118], [20, 118]])
+    flat = images.flattened(x + 1000.0 * y, corners[[2, 0, 3, 1]])  # values tell where they come from
+    assert flat.shape == (103, 120) and np.allclose(flat[[0, 0, -1, -1], [0, -1, -1, 0]], corners @ [1, 1000]) and images.flattened(page, corners // 4) is page
+    large = images.enlarged(np.tile(np.arange(0, 200, 10.0), (20, 1)), 3.0)
+    assert large.shape == (40, 40) and abs(large[20, 21] - 102.5) < 3
+
+
+def test_png_and_cleaned_pages(spark):
+    import base64
+    import struct
+    import zlib
+
+    page = np.random.default_rng(2).integers(0, 255, (30, 50)).astype(np.uint8)
+    file = images.png(page)
+    assert file[:8] == b"\x89PNG\r\n\x1a\n" and struct.unpack(">II", file[16:24]) == (50, 30)
+    data = zlib.decompress(file[41 : 41 + struct.unpack(">I", file[33:37])[0]])
+    assert (np.frombuffer(data, np.uint8).reshape(30, 51)[:, 1:] == page).all()
+    white = np.full((60, 80), 255, np.uint8)
+    white[20:24, 10:70] = 0
+    rows = [("low", bytearray(white.tobytes()), 60, 80, 100, 0.0), ("mid", bytearray(white.tobytes()), 60, 80, 200, 3.0), ("broken", bytearray(b"x"), 60, 80, 200, 0.0)]
+    got = {x.doc_id: x for x in images.cleaned_pages(spark.createDataFrame(rows, "doc_id string, pixels binary, height int, width int, dpi int, angle double")).collect()}
+    assert (got["low"].height, got["low"].width, got["low"].dpi) == (120, 160, 200) and (got["mid"].height, got["mid"].width, got["mid"].dpi) == (90, 120, 300)
+    assert got["broken"].image is None and 0 < got["mid"].ink < 0.3 and base64.b64decode(got["low"].image)[1:4] == b"PNG"
+    band, found = images.seal_band(np.full((50, 50, 3), 255, np.uint8))
+    assert not found and band.shape == (50, 50, 3)
