@@ -18,7 +18,8 @@ through in blocks of at most BLOCK_TERMS terms, each given to all shards; the fr
 are collected for a block's terms alone. Ties in score go to the smaller id.
 
 Defined results: a query without a term, null and empty ones among them, has no answers; a
-document without terms answers none; repeated query ids answer as one query with all their
+document without terms answers none; one without an id is not indexed, counted or asked; very
+long texts are indexed whole; repeated query ids answer as one query with all their
 rows' terms; of repeated documents each row answers; a table without documents gives no
 rows; other columns are not read.
 """

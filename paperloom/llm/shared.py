@@ -87,7 +87,8 @@ def training_sample(documents: DataFrame, labels: DataFrame, target: str, per_cl
     parts = [usable.where(F.col("y") == y).dropDuplicates(["doc_id"]).orderBy(F.xxhash64("doc_id"), "doc_id").limit(per_class) for y in (0, 1)]
     chosen = parts[0].unionByName(parts[1])
     texts = documents.select("doc_id", "text").where(F.col("text").isNotNull() & (F.length("text") <= MAX_TRAINING_CHARS))
-    rows = texts.join(F.broadcast(chosen), "doc_id").select("doc_id", "text", "y").collect()
+    # of rows that share an id the first text counts, so that there are 2 * per_class rows at most
+    rows = texts.join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "y").agg(F.min("text").alias("text")).collect()
     rows.sort(key=lambda r: (r.doc_id, r.text))
     return [(r.text, r.y) for r in rows]
 
