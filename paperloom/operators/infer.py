@@ -165,8 +165,12 @@ def with_hint(prompt: Column, hint: Column, most: int = 200) -> Column:
 
 
 def in_order(answers: DataFrame, work: DataFrame) -> DataFrame:
-    """Answers with the place of their task, in that order within each document."""
-    return answers.join(work.select("doc_id", "region_id", "pos"), ["doc_id", "region_id"]).withColumn("turn", F.row_number().over(Window.partitionBy("doc_id").orderBy("pos", "region_id")))
+    """Answers with the place of their task, in that order within each document.
+
+    Both sides may come from exploded arrays, whose size the planner takes for that of the rows
+    before; so the join is a merge, and no side of it goes to the driver.
+    """
+    return answers.join(work.select("doc_id", "region_id", "pos").hint("merge"), ["doc_id", "region_id"]).withColumn("turn", F.row_number().over(Window.partitionBy("doc_id").orderBy("pos", "region_id")))
 
 
 def with_cells(results: DataFrame, cells: DataFrame) -> DataFrame:

@@ -62,3 +62,9 @@ def test_top5_targets_long_order(spark, tmp_path):
     df = catalogue.QUERIES["top5_targets"](spark, str(tmp_path))
     rows = sorted(map(tuple, df.select("doc_id", "field_key", "turn").collect()))
     assert len(rows) == 10 and rows == sorted(c.sql(f"SELECT doc_id, field_key, turn FROM ({catalogue.ORACLE['top5_targets']})").fetchall())
+
+
+def test_cells_do_not_go_to_the_driver(spark):
+    """The planner takes exploded cells for small; their answers are joined with them without a broadcast."""
+    plan = catalogue.QUERIES["two_pass_tables"](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
