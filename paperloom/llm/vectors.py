@@ -47,8 +47,8 @@ class Grid:
 
 #: The axes are fitted on about so many vectors, chosen by a digest of their id; all are turned onto them. Any axes give the same links.
 AXES_SAMPLE = 1 << 16
-#: Pairs of intervals that share a copy of one side's rows.
-PAIRS_OF_COPY = 64
+#: Pairs of intervals are dealt in tiles, which need each interval once: about so many tiles to a side of the sequence, but at most so many bytes of vectors.
+TILES, TILE_BYTES = 6, 64 << 20
 NODE = ["id", "n", "first", "low", "high", "centre", "radius"]
 #: Axes whose cells make the order, and axes that boxes have.
 ORDER_AXES, BOX_AXES = 6, 8
@@ -299,6 +299,8 @@ class _Join:
                         self._pair(i, j, k, e)
             return
         cosines = p @ q.T
+        if cosines.max() < self.cosine - SLACK:
+            return
         linked = cosines >= self.cosine
         close = np.abs(cosines - self.cosine) < SLACK
         if close.any():
@@ -329,34 +331,49 @@ def _exact(p: np.ndarray, q: np.ndarray) -> float:
     return math.fsum(p * q) / math.sqrt(math.fsum(p * p) * math.fsum(q * q))
 
 
+def _tiles(blocks: DataFrame, pairs: DataFrame, width: int) -> DataFrame:
+    """(up_a, up_b, a, b, keys, rows) by tile: a row with an interval, whose b is null, for each that the tile's pairs need, then a row for each pair."""
+    work = pairs.select(F.floor(F.col("a") / width).alias("up_a"), F.floor(F.col("b") / width).alias("up_b"), "a", "b")
+    needed = work.select("up_a", "up_b", F.explode(F.array("a", "b")).alias("id")).distinct()
+    held = needed.join(blocks.select("id", "keys", "rows"), "id").select("up_a", "up_b", F.col("id").alias("a"), F.lit(None).cast("long").alias("b"), "keys", "rows")
+    both = held.unionByName(work, allowMissingColumns=True)
+    return both.repartition("up_a", "up_b").sortWithinPartitions("up_a", "up_b", F.col("b").asc_nulls_first())
+
+
 def _joined(blocks: DataFrame, pairs: DataFrame, axes: np.ndarray, kind: str, cosine: float, eps: float, grid: Grid) -> DataFrame:
     """(a, b, n): n links of a where b is null, else a link of the forest.
 
-    An interval that is near many others is copied for each PAIRS_OF_COPY of these, so that its pairs are spread.
+    Near intervals may be most pairs, so no pair has its rows with it: a tile of pairs, width
+    intervals by width, gets each of its intervals once, before its pairs, and a task holds one
+    tile at a time.
     """
     shown, size, dtype = blocks.sparkSession.sparkContext.broadcast(axes), len(axes), np.dtype("<f4" if kind == "float" else "<f8")
+    width = max(1, min(math.ceil(blocks.count() / TILES), TILE_BYTES // (grid.span * size * dtype.itemsize)))
 
     def run(batches) -> Iterator[pa.RecordBatch]:
+        tile, held = None, {}
         for batch in batches:
-            for r in range(batch.num_rows):
-                keys = [np.frombuffer(batch.column(k)[r].as_py(), "<i8") for k in (0, 2)]
-                given = tuple(np.frombuffer(batch.column(k)[r].as_py(), dtype).reshape(-1, size) for k in (1, 3))
-                join = _Join(given, shown.value, batch.column(4)[r].as_py(), cosine, eps, grid.leaf)
-                join.run()
-                sides = [(keys[0], join.n_x)] + ([] if join.same else [(keys[1], join.n_y)])
-                a = [k[n > 0] for k, n in sides]
-                links = np.array(join.links, np.int64).reshape(-1, 2)
-                ends = pa.concat_arrays([pa.nulls(sum(map(len, a)), pa.int64()), pa.array(keys[1][links[:, 1]])])
-                numbers = np.concatenate([*(n[n > 0] for _, n in sides), np.zeros(len(links), np.int64)])
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([*a, keys[0][links[:, 0]]])), ends, pa.array(numbers)], names=["a", "b", "n"])
-
-    data = blocks.select("id", "keys", "rows")
-    both = pairs
-    for side, other in (("a", "b"), ("b", "a")):
-        copies = written(pairs.groupBy(side).agg(F.ceil(F.count("*") / PAIRS_OF_COPY).alias("copies")), "copies")
-        held = data.withColumnsRenamed({"id": side, "keys": f"{side}_keys", "rows": f"{side}_rows"}).join(copies, side).withColumn("copy", F.explode(F.sequence(F.lit(0).cast("long"), F.col("copies") - 1))).drop("copies")
-        both = both.join(copies, side).withColumn("copy", F.pmod(F.xxhash64(other), F.col("copies"))).drop("copies").join(held, [side, "copy"]).drop("copy")
-    return both.select("a_keys", "a_rows", "b_keys", "b_rows", (F.col("a") == F.col("b")).alias("same")).mapInArrow(run, "a long, b long, n long")
+            columns = [batch.column(k).to_pylist() for k in range(6)]
+            for up_a, up_b, a, b, keys, rows in zip(*columns, strict=True):
+                if (up_a, up_b) != tile:
+                    tile, held = (up_a, up_b), {}
+                if b is None:
+                    held[a] = np.frombuffer(keys, "<i8"), np.frombuffer(rows, dtype).reshape(-1, size)
+                else:
+                    yield joined(held[a], held[b], a == b)
+
+    def joined(left: tuple[np.ndarray, np.ndarray], right: tuple[np.ndarray, np.ndarray], same: bool) -> pa.RecordBatch:
+        keys = left[0], right[0]
+        join = _Join((left[1], right[1]), shown.value, same, cosine, eps, grid.leaf)
+        join.run()
+        sides = [(keys[0], join.n_x)] + ([] if same else [(keys[1], join.n_y)])
+        a = [k[n > 0] for k, n in sides]
+        links = np.array(join.links, np.int64).reshape(-1, 2)
+        ends = pa.concat_arrays([pa.nulls(sum(map(len, a)), pa.int64()), pa.array(keys[1][links[:, 1]])])
+        numbers = np.concatenate([*(n[n > 0] for _, n in sides), np.zeros(len(links), np.int64)])
+        return pa.RecordBatch.from_arrays([pa.array(np.concatenate([*a, keys[0][links[:, 0]]])), ends, pa.array(numbers)], names=["a", "b", "n"])
+
+    return _tiles(blocks, pairs, width).mapInArrow(run, "a long, b long, n long")
 
 
 def cosine_links(vectors: DataFrame, key: str = "vec_id", vector: str = "embedding", cosine: float = 0.95, grid: Grid = Grid()) -> DataFrame:  # noqa: B008  it is frozen

@@ -50,6 +50,15 @@ def test_hot_vectors(spark):
     assert {r.vec_id: (r.n_links, r.component_id) for r in vectors.near_vectors(df, grid=vectors.Grid(32, 2, 8)).collect()} == want
 
 
+def test_intervals_are_not_copied_for_each_pair(spark):
+    n = 36
+    blocks = spark.createDataFrame([(k, b"k", b"v") for k in range(n)], "id long, keys binary, rows binary")
+    pairs = [(a, b) for a in range(n) for b in range(a, n)]
+    rows = vectors._tiles(blocks, spark.createDataFrame(pairs, "a long, b long"), n // vectors.TILES).collect()
+    assert sorted((r.a, r.b) for r in rows if r.b is not None) == pairs
+    assert sum(r.rows is not None for r in rows) == n * vectors.TILES
+
+
 def test_odd_vectors(spark):
     nan, inf = float("nan"), float("inf")
     rows = [(1, [1.0, 0.0]), (2, [2.0, 0.0]), (3, [0.0, 0.0]), (4, None), (5, [nan, 1.0]), (6, [inf, 1.0]), (7, []), (8, [1.0, 0.0, 0.0]), (9, [1e-200, 0.0]), (10, [1e200, 1e190]), (None, [1.0, 0.0]), (11, [None, 1.0])]
