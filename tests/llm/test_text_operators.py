@@ -554,6 +554,40 @@ def test_no_similar_pair_is_missed(spark, sampled):
     assert sorted(r.doc_id for r in alike.one_of_each(docs, 5).collect()) == sorted(set(label))
 
 
+@pytest.mark.parametrize("spread", [1 << 64, 1 << 30])
+def test_similar_sets_share_a_key(spread):
+    # pairs at the limit; hashes of a narrow range fall into one part, so that there are fewer keys than parts to differ in
+    r = np.random.default_rng(3)
+    for _ in range(2000):
+        a = np.unique(r.integers(0, spread, int(np.exp(r.uniform(np.log(4), np.log(900)))), dtype=np.uint64))
+        kept = a[r.permutation(len(a))[r.integers(0, len(a) // 5 + 1) :]]
+        more = (9 * len(kept) - 4 * len(a)) // 4 - len(kept)
+        b = np.unique(np.concatenate([kept, r.integers(0, spread, max(0, more), dtype=np.uint64)]))
+        if 9 * len(np.intersect1d(a, b)) < 4 * (len(a) + len(b)) or np.array_equal(a, b):
+            continue
+        keys = [alike.set_keys(x, x % np.uint64(3) == 0)[0] for x in (a, b)]
+        assert len(np.intersect1d(*keys))
+        places = int(np.bitwise_count((alike.sketch(a) ^ alike.sketch(b)).view(np.uint64)).sum())
+        assert places <= len(np.setxor1d(a, b)) and 9 * places <= len(a) + len(b)
+
+
+def test_what_simhash_links_is_not_compared_again(spark, monkeypatch):
+    import corpus_pipeline as C
+
+    compared, plain = [], alike._compared
+
+    def counted(pairs, sets):
+        compared.append({(min(p), max(p)) for p in pairs.collect()})
+        return plain(pairs, sets)
+
+    monkeypatch.setattr(alike, "_compared", counted)
+    base = " ".join(f"w{k}" for k in range(2000))
+    docs = spark.createDataFrame([(k, f"{base} x{k}") for k in range(6)] + [(9, "another text of a few words")], "doc_id long, text string")
+    assert sorted(r.doc_id for r in C.drop_near_duplicates(spark, docs, SF).collect()) == [0, 9]
+    # the six texts hang together by pairs of the SimHash step, and no pair is left for the join of sets
+    assert len(compared) == 3 and len(compared[0]) == 5 and not compared[1] and not compared[2]
+
+
 def test_similar_sets_of_one_large_group(spark):
     # every copy differs from every other, and all share nearly all hashes, which are then the frequent ones
     r = random.Random(12)
