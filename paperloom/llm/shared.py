@@ -57,6 +57,17 @@ def small_batches(spark: SparkSession, rows: int = BATCH_ROWS) -> None:
         spark.conf.set(key, str(rows))
 
 
+def collect_garbage(spark: SparkSession) -> None:
+    """Let the executors collect their garbage, a task for each core, so that their heaps go back to what is in use.
+
+    A heap otherwise grows to its limit by what earlier steps have left, and keeps that beside
+    the memory of the Python workers. No result depends on it; a JVM that was told to ignore
+    such requests ignores them.
+    """
+    cores = spark.sparkContext.defaultParallelism
+    spark.range(0, cores, 1, cores).select(F.expr("reflect('java.lang.System', 'gc')")).collect()
+
+
 @contextmanager
 def batch_rows(spark: SparkSession, rows: int) -> Iterator[None]:
     """Other rows per Arrow batch for what is run inside."""

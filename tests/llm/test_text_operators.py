@@ -588,6 +588,27 @@ def test_what_simhash_links_is_not_compared_again(spark, monkeypatch):
     assert len(compared) == 3 and len(compared[0]) == 5 and not compared[1] and not compared[2]
 
 
+def test_sets_that_share_many_keys_are_one_pair(spark):
+    rows = [(k, row, size, (1, 100), (9, size_of_9)) for k in range(50) for row, size, size_of_9 in ((1, 100, 110), (9, 110, 110), (5, 200, 110))]
+    met = spark.createDataFrame(rows, "key long, row long, size int, low struct<row: long, size: int>, high struct<row: long, size: int>")
+    assert [tuple(r) for r in alike._ends(met).collect()] == [(1, 9)]
+    none = spark.createDataFrame([], "row long, component long")
+    assert alike._unlinked(alike._ends(met), none).count() == 1
+    assert alike._unlinked(alike._ends(met), spark.createDataFrame([(1, 0), (9, 0)], none.schema)).count() == 0
+    assert alike._unlinked(alike._ends(met), spark.createDataFrame([(9, 5), (5, 5)], none.schema)).count() == 1
+
+
+def test_near_duplicates_give_the_heap_back(spark):
+    def collections_so_far():
+        beans = spark._jvm.java.lang.management.ManagementFactory.getGarbageCollectorMXBeans()
+        return sum(b.getCollectionCount() for b in beans if "Old" in b.getName() or "MarkSweep" in b.getName())
+
+    docs = spark.createDataFrame([(k, f"some words of text number {k % 3}") for k in range(9)], "doc_id long, text string")
+    before = collections_so_far()
+    assert sorted(r.doc_id for r in alike.one_of_each(docs).collect()) == [0, 1, 2]
+    assert collections_so_far() >= before + 6
+
+
 def test_similar_sets_of_one_large_group(spark):
     # every copy differs from every other, and all share nearly all hashes, which are then the frequent ones
     r = random.Random(12)
